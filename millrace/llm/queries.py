@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import leaks, near_duplicates, overlap
-from millrace.session import load, prepare
+from millrace.llm import cube_sample, leaks, near_duplicates, overlap, packing, tokenize
+from millrace.session import cut, load, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -75,3 +75,63 @@ def p4_rows(spark: SparkSession, d: str) -> DataFrame:
 def p4_counts(spark: SparkSession, d: str) -> DataFrame:
     details = load(spark, d, "variant_rows").select(F.col("sample_id").alias("id"), overlap.clean("anchor_skill_id").alias("anchor"), F.col("source_skill_ids").alias("sources"))
     return overlap.overlap_counts(_variant_texts(spark, d), details, 0.7)
+
+
+def _balanced(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    rows = load(spark, d, "variant_rows").select(F.col("sample_id").alias("id"), *(overlap.clean(c).alias(c) for c in ("stage", "split", "label")))
+    return cube_sample.draw(rows, load(spark, d, "sampling_targets"))
+
+
+@query
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return _balanced(spark, d)[1].where("missing > 0").select("stage", "split", "label")
+
+
+@query
+def p5_sample(spark: SparkSession, d: str) -> DataFrame:
+    return _balanced(spark, d)[0].withColumnRenamed("id", "sample_id")
+
+
+@query
+def p5_report(spark: SparkSession, d: str) -> DataFrame:
+    return _balanced(spark, d)[1]
+
+
+ORACLE_SQL["p5_found"] = """
+with have as (
+  select lower(trim(stage)) stage, lower(trim(split)) split, lower(trim(label)) label, count(distinct sample_id) n
+  from variant_rows group by all)
+select t.stage, t.split, t.label from sampling_targets t left join have h on t.stage = h.stage and t.split = h.split and t.label = h.label
+where coalesce(h.n, 0) < greatest(t.min_rows, cast(round(t.target_share * t.sample_rows) as bigint))
+"""
+
+
+@query
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    return tokenize.encode(load(spark, d, "documents").select("doc_id", "text"))
+
+
+def _token_sizes(spark: SparkSession, d: str) -> DataFrame:
+    return tokenize.encode(load(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"), out="size", count_only=True)
+
+
+#: The window of context_windows that p8_windows fills.
+WINDOW_NAME = "medium"
+
+
+@query
+def p8_windows(spark: SparkSession, d: str) -> DataFrame:
+    capacity = load(spark, d, "context_windows").where(F.col("window_name") == WINDOW_NAME).first()["capacity_tokens"]
+    return packing.fill_windows(_token_sizes(spark, d), capacity)[0].withColumnRenamed("id", "doc_id")
+
+
+@query
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    """Windows, lower bound and fill for each row of context_windows (four rows, at any scale)."""
+    sizes = cut(_token_sizes(spark, d))
+    out = []
+    for r in load(spark, d, "context_windows").orderBy("capacity_tokens").collect():
+        report = packing.fill_windows(sizes, r["capacity_tokens"])[1]
+        full = max(1, report["windows"]) * r["capacity_tokens"]
+        out.append((r["window_name"], r["capacity_tokens"], report["tokens"], report["windows"], report["lower_bound"], report["certified"], report["tokens"] / full))
+    return spark.createDataFrame(out, "window_name string, capacity_tokens bigint, tokens bigint, windows bigint, lower_bound bigint, certified boolean, fill double")
