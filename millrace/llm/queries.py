@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import cube_sample, leaks, near_duplicates, overlap, packing, tokenize
+from millrace.llm import credentials, cube_sample, leaks, near_duplicates, overlap, packing, source_files, tokenize
 from millrace.session import cut, load, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,31 @@ def p1_groups(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates.near_groups(_skill_texts(spark, d), 0.8, run=5).withColumnRenamed("id", "skill_id")
 
 
+def _files(spark: SparkSession, d: str) -> DataFrame:
+    return credentials.files(load(spark, d, "normalized_skill_records"))
+
+
+@query
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return source_files.made_files(_files(spark, d)).select("skill_id", "path").distinct()
+
+
+@query
+def p2_reasons(spark: SparkSession, d: str) -> DataFrame:
+    return source_files.made_files(_files(spark, d)).groupBy("reason").agg(F.count(F.lit(1)).alias("files"))
+
+
+@query
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return credentials.credential_lines(_files(spark, d))
+
+
+@query
+def p6_redacted(spark: SparkSession, d: str) -> DataFrame:
+    """Files that hold credentials, with these replaced."""
+    return credentials.redacted_files(_files(spark, d)).where("n > 0")
+
+
 @query
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return _leaks(spark, d).select(F.col("item_id").alias("eval_skill_id"), F.col("id").alias("skill_id"))
