@@ -1,7 +1,8 @@
 """Weighted cosine join of two collections of sparse vectors, without loss.
 
-Vectors are rows ``(id, terms array<bigint>, weights array<double>)`` of L2 norm 1 with distinct positive-weight terms.
-All pairs with a dot product of at least ``threshold`` are found:
+Vectors are rows ``(id, terms array<bigint>, weights array<double>)`` of L2 norm 1 with distinct positive-weight terms; without
+the column ``weights`` all terms of a vector weigh the same. All pairs with a dot product of at least ``threshold`` are
+found:
 
 1. *Residual norm against the other side's vocabulary.* The terms of one side are set in a fixed-size bit table; a
    vector of the other side whose part inside that vocabulary has a norm below the threshold can reach nobody and
@@ -9,7 +10,8 @@ All pairs with a dot product of at least ``threshold`` are found:
 2. *Inverted lists of prefixes.* Terms are ordered by how often they occur (rare first). By the Cauchy-Schwarz bound
    a vector may leave its tail out of the lists as long as the tail's norm, or the tail's sum of products with the
    greatest weight that the term has on the other side, stays below the threshold. Both sides are cut so, and the
-   lists are joined by term.
+   lists are joined by term. Frequencies and greatest weights come from all vectors, in a hashed table of fixed size;
+   terms that share a slot share its sums, which keeps one order for all and only loosens the bounds.
 3. *Bound on the rest.* A pair's partial dot product plus the product of both residual norms after its last shared
    prefix term must reach the threshold.
 4. *Exact dot products* of the full vectors for what is left.
@@ -25,9 +27,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.session import cut
 
@@ -35,15 +36,12 @@ from millrace.session import cut
 EPS = 1e-9
 #: log2 of the bits of the vocabulary table: 16 MiB, whatever the input.
 TABLE_BITS = 27
+#: log2 of the slots of the table of frequencies and greatest weights: 24 MiB.
+STAT_BITS = 21
 _PAGE = 1 << 16
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
-def unit_weights(terms: Column) -> Column:
-    """Equal weights of norm 1 for a set of terms."""
-    return F.transform(terms, lambda _: F.lit(1.0) / F.sqrt(F.size(terms).cast("double")))
-
-
 def _slots(terms: np.ndarray, bits: int) -> np.ndarray:
     return (terms.view(np.uint64) * _MUL) >> np.uint64(64 - bits)
 
@@ -82,23 +80,28 @@ def vocabulary_table(df: DataFrame, bits: int = TABLE_BITS) -> bytes:
     return table.tobytes()
 
 
+def _vectors(b: pa.RecordBatch, names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lengths, terms and weights of a batch of vectors."""
+    lists = b.column(names.index("terms"))
+    n = lists.value_lengths().to_numpy(zero_copy_only=False)
+    t = lists.flatten().to_numpy(zero_copy_only=False)
+    if "weights" in names:
+        return n, t, b.column(names.index("weights")).flatten().to_numpy(zero_copy_only=False)
+    return n, t, np.repeat(1 / np.sqrt(np.maximum(n, 1)), n)
+
+
 def within(df: DataFrame, table: bytes, threshold: float, bits: int = TABLE_BITS) -> DataFrame:
     """Vectors whose part inside the table's vocabulary has a norm of at least ``threshold``."""
     held = df.sparkSession.sparkContext.broadcast(table)
-    at, names = df.columns.index("terms"), df.columns
-    wat = names.index("weights")
+    names = df.columns
 
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.frombuffer(held.value, np.uint8)
         for b in batches:
-            if not b.num_rows:
-                continue
-            lists, ws = b.column(at), b.column(wat)
-            t, w = lists.flatten().to_numpy(zero_copy_only=False), ws.flatten().to_numpy(zero_copy_only=False)
+            n, t, w = _vectors(b, names)
             s = _slots(t, bits)
             inside = (own[(s >> np.uint64(3)).astype(np.int64)] >> (s & np.uint64(7)).astype(np.uint8)) & 1
             total = np.concatenate([[0.0], np.cumsum(w * w * inside)])
-            n = lists.value_lengths().to_numpy(zero_copy_only=False)
             end = np.cumsum(n)
             keep = (total[end] - total[end - n] >= threshold * threshold - 1e-6) & (n > 0)
             if keep.any():
@@ -107,52 +110,81 @@ def within(df: DataFrame, table: bytes, threshold: float, bits: int = TABLE_BITS
     return df.where(F.col("terms").isNotNull()).mapInArrow(prune, df.schema)
 
 
-def _postings(df: DataFrame, kind: T.DataType) -> DataFrame:
-    return df.select(F.col("id").cast(kind).alias("id"), F.posexplode("terms").alias("k", "term"), "weights").select("id", "term", F.element_at("weights", F.col("k") + 1).alias("w"))
+def term_stats(df: DataFrame, bits: int = STAT_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """By slot, how many vectors have its terms, and the greatest weight; of fixed size."""
+    names, page = df.columns, 1 << 14
 
-
-def prefixes(postings: DataFrame, stats: DataFrame, threshold: float, other_max: str) -> DataFrame:
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count, top = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.float32)
+        for b in batches:
+            _, t, w = _vectors(b, names)
+            s = _slots(t, bits).astype(np.int64)
+            np.add.at(count, s, 1)
+            np.maximum.at(top, s, np.nextafter(w.astype(np.float32), np.float32(2)))
+        at = np.flatnonzero(count.reshape(-1, page).any(axis=1))
+        rows = [(count.reshape(-1, page)[i].tobytes(), top.reshape(-1, page)[i].tobytes()) for i in at]
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *(pa.array([r[k] for r in rows], pa.binary()) for k in (0, 1))], ["page", "n", "top"])
+
+    def both(key: tuple, t: pa.Table) -> pa.Table:
+        n = sum(np.frombuffer(x, np.int64) for x in t.column("n").to_pylist())
+        top = np.maximum.reduce([np.frombuffer(x, np.float32) for x in t.column("top").to_pylist()])
+        return pa.table({"page": pa.array([key[0].as_py()], pa.int32()), "n": pa.array([n.tobytes()], pa.binary()), "top": pa.array([top.tobytes()], pa.binary())})
+
+    schema = "page int, n binary, top binary"
+    rows = df.mapInArrow(local, schema).groupBy("page").applyInArrow(both, schema).toArrow()
+    count, top = np.zeros((1 << bits) // page * page, np.int64).reshape(-1, page), np.zeros((1 << bits), np.float32).reshape(-1, page)
+    for p, n, w in zip(*(rows.column(c).to_pylist() for c in ("page", "n", "top"))):
+        count[p], top[p] = np.frombuffer(n, np.int64), np.frombuffer(w, np.float32)
+    return count.ravel(), top.ravel()
+
+
+def prefixes(df: DataFrame, own: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray], threshold: float) -> DataFrame:
     """``(id, term, w, r)``: the index part of each vector, its rare terms up to where the tail can no longer reach the
-    threshold alone; ``r`` is the norm of what comes after the term."""
-    kind = postings.schema["id"].dataType.simpleString()
-    v = F.array_sort(F.collect_list(F.struct("df", "term", "w", F.col(other_max).alias("m"))))
-    ordered = postings.join(stats, "term").groupBy("id").agg(v.alias("v")).select("id", F.col("v.term").alias("t"), F.col("v.w").alias("w"), F.col("v.m").alias("m"))
+    threshold alone; ``r`` is the norm of what comes after the term. Terms whose slot is empty on the other side add to
+    no dot product and are left out from the start."""
+    freq = (own[0] + other[0]).clip(max=np.iinfo(np.int32).max).astype(np.int32)
+    held = df.sparkSession.sparkContext.broadcast((freq.tobytes(), other[1].tobytes()))
+    names, bits = df.columns, int(np.log2(len(freq)))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        freq, top = (np.frombuffer(x, k) for x, k in zip(held.value, (np.int32, np.float32)))
         for b in batches:
-            n = b.column(1).value_lengths().to_numpy(zero_copy_only=False)
-            t, w, m = (b.column(i).flatten().to_numpy(zero_copy_only=False) for i in (1, 2, 3))
-            at, row, res, start = [], [], [], 0
-            for i, k in enumerate(n):
-                ws, ms = w[start : start + k][::-1], m[start : start + k][::-1]
-                norm = np.sqrt(np.cumsum(ws * ws))
-                out = int(np.count_nonzero(np.minimum(norm, np.cumsum(ws * ms)) < threshold - EPS))
-                size = k - out
-                at.append(np.arange(start, start + size))
-                row.append(np.full(size, i))
-                res.append(np.append(norm[::-1][1:], 0.0)[:size])
+            n, t, w = _vectors(b, names)
+            s = _slots(t, bits).astype(np.int64)
+            m, f = top[s], freq[s]
+            row, term, weight, rest, start = [], [], [], [], 0
+            for i, k in enumerate(n.tolist()):
+                here = start + np.flatnonzero(m[start : start + k])
                 start += k
-            if not at:
-                continue
-            at, row, res = np.concatenate(at), np.concatenate(row), np.concatenate(res)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), pa.array(t[at]), pa.array(w[at]), pa.array(res)], ["id", "term", "w", "r"])
-
-    return ordered.mapInArrow(index, f"id {kind}, term bigint, w double, r double")
-
-
-def cosine_join(left: DataFrame, right: DataFrame | None, threshold: float, unit: bool = False, prune: bool = True) -> DataFrame:
-    """Pairs ``(id_a, id_b, dot, shared, size_a, size_b)`` of ``left`` and ``right`` with ``dot >= threshold``; with no ``right``, of ``left``
-    with itself and ``id_a < id_b``.
-
-    ``threshold`` must lie in (0, 1]. ``unit`` says that each vector's weights are equal. Inputs are cut (checkpointed) after pruning, as they are used several times.
-    """
+                here = here[np.lexsort((t[here], f[here]))]
+                ws = w[here][::-1]
+                norm = np.sqrt(np.cumsum(ws * ws))
+                out = int(np.count_nonzero(np.minimum(norm, np.cumsum(ws * m[here][::-1])) < threshold - EPS))
+                size = len(here) - out
+                if size:
+                    row.append(np.full(size, i))
+                    term.append(t[here[:size]])
+                    weight.append(w[here[:size]])
+                    rest.append(np.append(norm[::-1][1:], 0.0)[:size])
+            if row:
+                yield pa.RecordBatch.from_arrays([b.column(names.index("id")).take(pa.array(np.concatenate(row))), *(pa.array(np.concatenate(x)) for x in (term, weight, rest))], ["id", "term", "w", "r"])
+
+    return df.mapInArrow(index, f"id {df.schema['id'].dataType.simpleString()}, term bigint, w double, r double")
+
+
+def cosine_join(left: DataFrame, right: DataFrame | None, threshold: float, prune: bool = True) -> DataFrame:
+    """Pairs ``(id_a, id_b, dot, shared, size_a, size_b)`` of ``left`` and ``right`` with ``dot >= threshold``; with no
+    ``right``, of ``left`` with itself and ``id_a < id_b``. ``threshold`` must lie in (0, 1]. Inputs are cut
+    (checkpointed) after pruning, as they are used several times."""
     if not 0 < threshold <= 1:
         raise ValueError("threshold must lie in (0, 1]")
     own = right is None
-    cols = ["id", "terms", "weights"]
+    cols = [c for c in ("id", "terms", "weights") if c in left.columns]
     left = left.select(cols).where("id is not null and terms is not null")
     if own:
         left = right = cut(left)
+        stats = stats_r = term_stats(left)
+        a = b = prefixes(left, stats, (np.zeros_like(stats[0]), stats[1]), threshold)
     else:
         right = right.select(cols).where("id is not null and terms is not null")
         if prune:
@@ -160,36 +192,28 @@ def cosine_join(left: DataFrame, right: DataFrame | None, threshold: float, unit
             right = cut(within(right, vocabulary_table(left), threshold))
         else:
             left, right = cut(left), cut(right)
-    kind = left.schema["id"].dataType
-    pl, pr = _postings(left, kind), _postings(right, kind)
-    if own:
-        stats = cut(pl.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max("w").alias("ml")).withColumn("mr", F.col("ml")))
-        a = b = cut(prefixes(pl, stats.where("df > 1"), threshold, "mr"))
-    else:
-        both = pl.select("term", "w", F.lit(1).alias("l")).unionAll(pr.select("term", "w", F.lit(0).alias("l")))
-        stats = both.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max(F.when(F.col("l") == 1, F.col("w"))).alias("ml"), F.max(F.when(F.col("l") == 0, F.col("w"))).alias("mr"))
-        # A term of one side only adds nothing to any dot product; without it the residual norms are tighter.
-        stats = cut(stats.where("ml is not null and mr is not null"))
-        a, b = cut(prefixes(pl, stats, threshold, "mr")), cut(prefixes(pr, stats, threshold, "ml"))
+        stats, stats_r = term_stats(left), term_stats(right)
+        a, b = prefixes(left, stats, stats_r, threshold), prefixes(right, stats_r, stats, threshold)
     x = a.select(F.col("id").alias("id_a"), "term", F.col("w").alias("wa"), F.col("r").alias("ra"))
     y = b.select(F.col("id").alias("id_b"), "term", F.col("w").alias("wb"), F.col("r").alias("rb"))
     met = x.join(y, "term")
     if own:
         met = met.where("id_a < id_b")
     cand = met.groupBy("id_a", "id_b").agg(F.sum(F.col("wa") * F.col("wb")).alias("part"), F.min("ra").alias("ra"), F.min("rb").alias("rb"))
-    cand = cut(cand.where(F.col("part") + F.col("ra") * F.col("rb") >= threshold - EPS).select("id_a", "id_b"))
-    return exact_dots(cand, left, right, unit).where(F.col("dot") >= threshold - EPS)
+    cand = cand.where(F.col("part") + F.col("ra") * F.col("rb") >= threshold - EPS).select("id_a", "id_b")
+    return exact_dots(cand, left, right).where(F.col("dot") >= threshold - EPS)
 
 
-def exact_dots(pairs: DataFrame, left: DataFrame, right: DataFrame, unit: bool) -> DataFrame:
+def exact_dots(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
     """``(id_a, id_b, dot, shared, size_a, size_b)`` of given pairs by their full vectors; ``shared`` counts the common
     terms. Equal weights need only the sets; others are joined term by term."""
-    l = left.select(F.col("id").alias("id_a"), F.col("terms").alias("ta"), F.col("weights").alias("va"))
-    r = right.select(F.col("id").alias("id_b"), F.col("terms").alias("tb"), F.col("weights").alias("vb"))
-    if unit:
-        met = pairs.join(l.drop("va"), "id_a").join(r.drop("vb"), "id_b")
+    l, r = left.select(F.col("id").alias("id_a"), F.col("terms").alias("ta")), right.select(F.col("id").alias("id_b"), F.col("terms").alias("tb"))
+    if "weights" not in left.columns:
+        met = pairs.join(l, "id_a").join(r, "id_b")
         sizes = met.select("id_a", "id_b", F.size(F.array_intersect("ta", "tb")).alias("shared"), F.size("ta").alias("size_a"), F.size("tb").alias("size_b"))
         return sizes.withColumn("dot", F.col("shared") / F.sqrt(F.col("size_a").cast("double") * F.col("size_b")))
-    a = pairs.join(l, "id_a").select("id_a", "id_b", F.size("ta").alias("size_a"), F.explode(F.arrays_zip("ta", "va")).alias("x")).select("id_a", "id_b", "size_a", F.col("x.ta").alias("term"), F.col("x.va").alias("wa"))
-    b = r.select("id_b", F.size("tb").alias("size_b"), F.explode(F.arrays_zip("tb", "vb")).alias("x")).select("id_b", "size_b", F.col("x.tb").alias("term"), F.col("x.vb").alias("wb"))
-    return a.join(b, ["id_b", "term"]).groupBy("id_a", "id_b").agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"), F.count(F.lit(1)).alias("shared"), F.first("size_a").alias("size_a"), F.first("size_b").alias("size_b"))
+    l = left.select(F.col("id").alias("id_a"), F.size("terms").alias("size_a"), F.explode(F.arrays_zip(F.col("terms").alias("t"), F.col("weights").alias("w"))).alias("x"))
+    r = right.select(F.col("id").alias("id_b"), F.size("terms").alias("size_b"), F.explode(F.arrays_zip(F.col("terms").alias("t"), F.col("weights").alias("w"))).alias("y"))
+    a = pairs.join(l, "id_a").withColumn("term", F.col("x.t"))
+    b = r.withColumn("term", F.col("y.t"))
+    return a.join(b, ["id_b", "term"]).groupBy("id_a", "id_b").agg(F.sum(F.col("x.w") * F.col("y.w")).alias("dot"), F.count(F.lit(1)).alias("shared"), F.first("size_a").alias("size_a"), F.first("size_b").alias("size_b"))

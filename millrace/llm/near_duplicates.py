@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import words as w
-from millrace.llm.cosine_join import cosine_join, unit_weights
+from millrace.llm.cosine_join import cosine_join
 from millrace.llm.overlap import cosine_for, run_sets
 from millrace.session import cut, keep_keys
 
@@ -85,9 +85,9 @@ def class_pairs(records: DataFrame, likeness: float, run: int = 3, bands: int =
     shared = F.size(F.array_intersect("ta", "tb"))
     found = pairs.join(left, "cid_a").join(right, "cid_b").select("cid_a", "cid_b", (shared / (F.size("ta") + F.size("tb") - shared)).alias("likeness")).where(F.col("likeness") >= likeness)
     if crowded.count():
-        vectors = keep_keys(sets, crowded, "cid").select(F.col("cid").alias("id"), "terms", unit_weights(F.col("terms")).alias("weights"))
+        vectors = keep_keys(sets, crowded, "cid").select(F.col("cid").alias("id"), "terms")
         j = F.col("shared") / (F.col("size_a") + F.col("size_b") - F.col("shared"))
-        more = cosine_join(vectors, None, cosine_for(likeness), unit=True).select(F.col("id_a").alias("cid_a"), F.col("id_b").alias("cid_b"), j.alias("likeness")).where(F.col("likeness") >= likeness)
+        more = cosine_join(vectors, None, cosine_for(likeness)).select(F.col("id_a").alias("cid_a"), F.col("id_b").alias("cid_b"), j.alias("likeness")).where(F.col("likeness") >= likeness)
         found = found.unionByName(more).dropDuplicates(["cid_a", "cid_b"])
     return cut(found), members
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm import words as w
-from millrace.llm.cosine_join import cosine_join, exact_dots, unit_weights, vocabulary_table, within
+from millrace.llm.cosine_join import cosine_join, vocabulary_table, within
 from millrace.session import cut
 
 RUN = 3
@@ -61,14 +61,13 @@ def split_classes(rows: DataFrame, likeness: float) -> tuple[DataFrame, DataFram
     bound = cosine_for(likeness)
     rows = rows.where(F.col("id").isNotNull() & F.col("text").isNotNull() & F.col("split").isin(TRAIN, *HELD_OUT))
     held = run_sets(rows.where(F.col("split") != TRAIN), "text")
-    vectors = lambda d: d.withColumn("weights", unit_weights(F.col("terms")))
     # The held-out vocabulary prunes the training rows, what is left of these prunes the held-out rows: both
     # before any shuffle of texts or sets.
-    train = cut(within(vectors(run_sets(rows.where(F.col("split") == TRAIN), "text")), vocabulary_table(held), bound).drop("weights"))
-    held = cut(within(vectors(held), vocabulary_table(train), bound).drop("weights"))
+    train = cut(within(run_sets(rows.where(F.col("split") == TRAIN), "text"), vocabulary_table(held), bound))
+    held = cut(within(held, vocabulary_table(train), bound))
     members = train.drop("terms").unionByName(held.drop("terms")).distinct()
-    classes = lambda d: vectors(d.select(F.col("cid").alias("id"), "terms").dropDuplicates(["id"]))
-    met = cosine_join(classes(train), classes(held), bound, unit=True, prune=False)
+    classes = lambda d: d.select(F.col("cid").alias("id"), "terms").dropDuplicates(["id"])
+    met = cosine_join(classes(train), classes(held), bound, prune=False)
     j = F.col("shared") / (F.col("size_a") + F.col("size_b") - F.col("shared"))
     pairs = met.select(F.col("id_a").alias("train_cid"), F.col("id_b").alias("held_cid"), j.alias("likeness")).where(F.col("likeness") >= likeness)
     return cut(pairs), members
@@ -110,5 +109,3 @@ def overlap_counts(rows: DataFrame, details: DataFrame, likeness: float = 0.7) -
     flat = both.select("split", "links", "same", F.explode(kinds).alias("k")).select("split", "links", "same", "k.*")
     return flat.groupBy("split", "source_kind", "source").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("same") > 0).alias("rows_same"), F.sum("links").alias("links"))
 
-
-__all__ = ["exact_dots", "overlap_counts", "overlap_rows", "run_sets", "split_overlaps"]
