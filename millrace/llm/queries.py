@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import credentials, cube_sample, leaks, near_duplicates, overlap, packing, source_files, tokenize
+from millrace.llm import credentials, cube_sample, leaks, near_duplicates, overlap, packing, personal, source_files, tokenize
 from millrace.session import cut, load, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,3 +160,13 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
         full = max(1, report["windows"]) * r["capacity_tokens"]
         out.append((r["window_name"], r["capacity_tokens"], report["tokens"], report["windows"], report["lower_bound"], report["certified"], report["tokens"] / full))
     return spark.createDataFrame(out, "window_name string, capacity_tokens bigint, tokens bigint, windows bigint, lower_bound bigint, certified boolean, fill double")
+
+
+@query
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return personal.personal_pieces(load(spark, d, "documents").select("doc_id", "text")).select("doc_id", "pii_kind", "start_pos")
+
+
+@query
+def p9_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return personal.redacted_texts(load(spark, d, "documents").select("doc_id", "text"))
