@@ -1 +1 @@
-"""Part of millrace; see README.md."""
+"""Readers and writers of corpora, verdicts, directory trees and versioned outputs."""
