@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.hashing import hash_parts
 from millrace.functions.text import description_section, rstrip, strip
@@ -23,7 +24,8 @@ def frontmatter(df: DataFrame, text: str = "skill_md") -> DataFrame:
     """Adds ``front struct<name, description>`` and ``body``: the YAML between ``---`` fences at the start. Without fences
     the body is the whole; invalid YAML or YAML that is no mapping gives empty fields. An Arrow function, as YAML has no JVM
     function here."""
-    schema = df.select("*").schema.add("front", _front_type()).add("body", "string")
+    front = T.StructType([T.StructField("name", T.StringType()), T.StructField("description", T.StringType())])
+    schema = T.StructType(df.schema.fields + [T.StructField("front", front), T.StructField("body", T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -33,12 +35,6 @@ def frontmatter(df: DataFrame, text: str = "skill_md") -> DataFrame:
     return df.mapInPandas(run, schema)
 
 
-def _front_type():
-    from pyspark.sql import types as T
-
-    return T.StructType([T.StructField("name", T.StringType()), T.StructField("description", T.StringType())])
-
-
 def parse_frontmatter(text: str | None) -> tuple[str, str, str]:
     import yaml
 

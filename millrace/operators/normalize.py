@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.text import clean, clip, is_clipped, join_parts, strip
 
@@ -92,7 +93,7 @@ def record_sha1(df: DataFrame) -> DataFrame:
     import hashlib
     import json
 
-    schema = df.schema.add("record_sha1", "string")
+    schema = T.StructType(df.schema.fields + [T.StructField("record_sha1", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

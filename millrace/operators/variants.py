@@ -13,6 +13,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.hashing import digest_halves, digest_mod
 from millrace.functions.text import LAYERS, inner, join_parts, tokens, wrap
@@ -152,7 +153,7 @@ def _mersenne(df: DataFrame, seed: int) -> DataFrame:
     import hashlib
     import random
 
-    schema = df.schema.add("a", "bigint").add("d", "bigint")
+    schema = T.StructType(df.schema.fields + [T.StructField("a", T.LongType()), T.StructField("d", T.LongType())])
     names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
