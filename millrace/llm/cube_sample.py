@@ -67,7 +67,8 @@ def _flight(seed: int, land: bool = False):
         if land:
             open_ = (new > 0) & (new < 1)
             new[open_] = rng.random(int(open_.sum())) < new[open_]
-        return t.set_column(t.schema.get_field_index("pi"), "pi", pa.array(new)).filter(pa.array(new > 0))
+        at = t.schema.get_field_index("pi")
+        return t.set_column(at, t.schema.field(at), pa.array(new)).filter(pa.array(new > 0))
 
     return run
 

@@ -92,9 +92,9 @@ def class_pairs(records: DataFrame, likeness: float, run: int = 3, bands: int =
     return cut(found), members
 
 
-def near_pairs(records: DataFrame, likeness: float, run: int = 3) -> DataFrame:
+def near_pairs(records: DataFrame, likeness: float, run: int = 3, hot: int = HOT) -> DataFrame:
     """``(id_a, id_b, likeness)``: every pair of different ids, smaller first; copies are expanded."""
-    pairs, members = class_pairs(records, likeness, run)
+    pairs, members = class_pairs(records, likeness, run, hot=hot)
     a = members.select(F.col("cid").alias("cid_a"), F.col("id").alias("x"))
     b = members.select(F.col("cid").alias("cid_b"), F.col("id").alias("y"))
     near = pairs.join(a, "cid_a").join(b, "cid_b").select("x", "y", "likeness")
