@@ -105,7 +105,10 @@ FILE_BYTES = 200_000
 def directory_files(spark: SparkSession, root: str) -> DataFrame:
     """``(package_dir, path, content, size_bytes, truncated)`` of all files below ``root``: the first part of the
     path is the package, invalid UTF-8 is replaced, only the first bytes are decoded."""
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length", "content")
+    empty = [(p, 0, bytearray()) for p in _empty_files(spark, root)]  # Spark's file scan passes over these
+    if empty:
+        raw = raw.unionByName(spark.createDataFrame(empty, raw.schema))
     base = os.path.abspath(root.removeprefix("file://")).rstrip("/")
     rel = F.regexp_replace("path", "^(?:file:)?/*" + re.escape(base.lstrip("/")) + "/", "")
     parts = F.split(rel, "/")
@@ -113,6 +116,18 @@ def directory_files(spark: SparkSession, root: str) -> DataFrame:
     return raw.select(parts[0].alias("package_dir"), F.array_join(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1))), "/").alias("path"), text.alias("content"), F.col("length").alias("size_bytes"), (F.col("length") > FILE_BYTES).alias("truncated")).where("path != ''")
 
 
+def _empty_files(spark: SparkSession, root: str) -> list[str]:
+    """Paths of empty files, by the same listing of metadata that a scan makes."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(root)
+    found, out = path.getFileSystem(sc._jsc.hadoopConfiguration()).listFiles(path, True), []
+    while found.hasNext():
+        f = found.next()
+        if f.getLen() == 0:
+            out.append(f.getPath().toString())
+    return out
+
+
 def packages(files: DataFrame) -> DataFrame:
     """One row per package: ``skill_md`` (SKILL.md, else skill.md, else empty) and its other files, by path parts. Files of
     one package are gathered, which a package's own size bounds."""
