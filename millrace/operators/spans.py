@@ -174,7 +174,7 @@ def rewritten(positives: DataFrame, k: int = 3, rewriter: Rewriter = flip_rewrit
     backend is set up once per worker."""
     rows = layer_rows(positives.select("anchor_skill_id", "text", "pool", "split", "stage"))
     if done is not None:
-        rows = rows.join(done.select("anchor_skill_id", F.col("target_layer").alias("layer")).distinct(), ["anchor_skill_id", "layer"], "left_anti").select("anchor_skill_id", "text", "pool", "split", "stage", "layer", "inner")
+        rows = rows.join(done.select("stage", "anchor_skill_id", F.col("target_layer").alias("layer")).distinct(), ["stage", "anchor_skill_id", "layer"], "left_anti").select("anchor_skill_id", "text", "pool", "split", "stage", "layer", "inner")
     rows = sampled(rows, "anchor_skill_id", "layer", "inner", k)
     names = rows.columns
     schema = T.StructType([f for f in rows.schema.fields if f.name != "spans"] + [T.StructField("new", T.StringType()), T.StructField("n", T.IntegerType())])

@@ -77,11 +77,11 @@ def positives(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def done_keys(spark: SparkSession, path: str) -> DataFrame:
-    """Distinct ``(anchor_skill_id, target_layer)`` of an output; empty for a missing or unreadable one."""
+    """Distinct ``(stage, anchor_skill_id, target_layer)`` of an output; empty for a missing or unreadable one."""
     try:
-        df = spark.read.parquet(path).select("anchor_skill_id", "target_layer")
+        df = spark.read.parquet(path).select("stage", "anchor_skill_id", "target_layer")
     except AnalysisException:
-        df = spark.createDataFrame([], "anchor_skill_id string, target_layer string")
+        df = spark.createDataFrame([], "stage string, anchor_skill_id string, target_layer string")
     return df.distinct()
 
 
