@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +17,12 @@ TAGS = {"M": "METADATA", "I": "INSTRUCTION", "R": "RESOURCE"}
 LAYERS = {"stage1": ("M", "I"), "stage2": ("M", "I", "R")}
 
 
+def let(c: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(c)`` with ``c`` evaluated once, however often ``f`` mentions it. Catalyst doesn't share sub-expressions that stand
+    in branches or lambdas, so a chain of regular expressions would else run once per mention."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def rstrip(c: Column) -> Column:
     return F.regexp_replace(c, SPACE + r"+\z", "")
 
@@ -35,12 +43,15 @@ def clean(c: Column) -> Column:
 def clip(c: Column, limit: Column | int) -> Column:
     """At most ``limit`` characters, the mark included; 0 or less is no limit. A limit below the mark's length gives
     the mark alone."""
-    limit = F.lit(limit) if isinstance(limit, int) else limit
-    n = len(SUFFIX)
-    head = rstrip(F.substring(c, F.lit(1), limit))
-    less = rstrip(F.substring(head, F.lit(1), F.greatest(F.lit(0), limit - n)))
-    clipped = F.concat(F.when(F.length(head) + n > limit, less).otherwise(head), F.lit(SUFFIX))
-    return F.when((limit <= 0) | (F.length(c) <= limit), c).otherwise(clipped)
+    if isinstance(limit, int) and limit <= 0:
+        return c
+    most, n = (F.lit(limit) if isinstance(limit, int) else limit), len(SUFFIX)
+
+    def cut(t: Column) -> Column:
+        short = lambda h: F.when(F.length(h) + n > most, rstrip(F.substring(h, F.lit(1), F.greatest(F.lit(0), most - n)))).otherwise(h)
+        return F.when((most <= 0) | (F.length(t) <= most), t).otherwise(F.concat(let(rstrip(F.substring(t, F.lit(1), most)), short), F.lit(SUFFIX)))
+
+    return let(c, cut)
 
 
 def is_clipped(c: Column, limit: Column | int) -> Column:
@@ -53,16 +64,21 @@ def tokens(c: Column) -> Column:
     return F.floor((F.length(c) + 3) / 4).cast("bigint")
 
 
+def headed(c: Column, head: str) -> Column:
+    """A non-empty text after its head; an empty one stays empty."""
+    return let(c, lambda t: F.when(t == "", "").otherwise(F.concat(F.lit(head), t)))
+
+
 def wrap(c: Column, layer: str) -> Column:
     tag = TAGS[layer]
-    return F.when(c == "", "").otherwise(F.concat(F.lit(f"<{tag}>\n"), c, F.lit(f"\n</{tag}>")))
+    return let(c, lambda t: F.when(t == "", "").otherwise(F.concat(F.lit(f"<{tag}>\n"), t, F.lit(f"\n</{tag}>"))))
 
 
 def inner(c: Column, layer: str) -> Column:
     """What a whole tagged block holds; a text that is no such block is returned as it is."""
     tag = TAGS[layer]
     p = rf"(?s)\A<{tag}>\n(.*)\n</{tag}>\z"
-    return F.when(c.rlike(p), F.regexp_extract(c, p, 1)).otherwise(c)
+    return let(c, lambda t: F.when(t.rlike(p), F.regexp_extract(t, p, 1)).otherwise(t))
 
 
 def layer_of(c: Column, layer: str) -> Column:
@@ -73,7 +89,7 @@ def layer_of(c: Column, layer: str) -> Column:
 
 def join_parts(*parts: Column, sep: str = "\n") -> Column:
     """Non-empty parts in a row."""
-    return F.concat_ws(sep, *(F.when(p != "", p) for p in parts))
+    return F.array_join(F.filter(F.array(*parts), lambda p: p != ""), sep)
 
 
 def replace_layer(c: Column, stage: str, layer: str, new: Column) -> Column:

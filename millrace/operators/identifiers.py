@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.text import LAYERS, layer_of, replace_layer, tokens
+from millrace.functions.text import LAYERS, layer_of, let, replace_layer, tokens
 from millrace.operators.variants import MAX_TOKENS, T3B, row
 
 REGISTRY_VERSION = 2
@@ -192,10 +192,14 @@ def substituted(positives: DataFrame, k: int = 3, tag: str = "t3c") -> DataFrame
     """T3c: positives (``anchor_skill_id, text, pool, split, stage``) with up to ``k`` identifiers replaced per layer. Layers
     without a place and results over the budget are left out."""
     rows = layer_rows(positives.select("anchor_skill_id", "text", "pool", "split", "stage"))
-    rows = rows.withColumn("hits", find_places(F.col("inner"))).where(F.size("hits") > 0)
-    rows = rows.withColumn("hits", choose(F.col("hits"), k, F.lit(tag), F.col("anchor_skill_id"), F.col("layer")))
-    rows = rows.withColumns({"whole": with_layer(splice(F.col("inner"), F.col("hits"))), "kinds": F.array_join(F.transform("hits", lambda h: h["kind"]), ",")})
-    sub = F.concat(F.lit("layer="), F.col("layer"), F.lit(f"|method=rule|registry_v={REGISTRY_VERSION}|k="), F.size("hits").cast("string"), F.lit("|kinds="), F.col("kinds"))
-    rows = rows.drop("text").withColumnRenamed("whole", "text").withColumn("sub", sub)
     limit = F.when(F.col("stage") == "stage1", MAX_TOKENS["stage1"]).otherwise(MAX_TOKENS["stage2"])
-    return rows.where(tokens(F.col("text")) <= limit).select(*row("T3c", F.col("sub"), F.col("layer"), F.array("anchor_skill_id"), F.col("text"), "anchor_skill_id"))
+
+    def made(c: Column) -> Column:
+        return F.struct(let(splice(F.col("inner"), c), with_layer).alias("text"), F.size(c).alias("n"), F.array_join(F.transform(c, lambda h: h["kind"]), ",").alias("kinds"))
+
+    # One generator instead of columns and filters: a filter would be pushed below and find all places again.
+    new = let(find_places(F.col("inner")), lambda h: let(choose(h, k, F.lit(tag), F.col("anchor_skill_id"), F.col("layer")), made))
+    rows = rows.select("anchor_skill_id", "pool", "split", "stage", "layer", F.explode(F.filter(F.array(new), lambda x: (x["n"] > 0) & (tokens(x["text"]) <= limit))).alias("x"))
+    sub = F.concat(F.lit("layer="), F.col("layer"), F.lit(f"|method=rule|registry_v={REGISTRY_VERSION}|k="), F.col("x.n").cast("string"), F.lit("|kinds="), F.col("x.kinds"))
+    rows = rows.select("anchor_skill_id", "pool", "split", "stage", "layer", F.col("x.text").alias("text"), sub.alias("sub"))
+    return rows.select(*row("T3c", F.col("sub"), F.col("layer"), F.array("anchor_skill_id"), F.col("text"), "anchor_skill_id"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.text import clean, clip, is_clipped, join_parts, strip
+from millrace.functions.text import clean, clip, headed, is_clipped, join_parts, let, strip
 
 FILE_CHARS, CONCAT_CHARS = 12_000, 48_000
 _FILES = "array<struct<path:string,content:string,size_bytes:bigint,truncated:boolean>>"
@@ -18,9 +18,11 @@ _FILES = "array<struct<path:string,content:string,size_bytes:bigint,truncated:bo
 def clean_files(files: Column, limit: int = FILE_CHARS) -> Column:
     """Cleaned and clipped files; null gives an empty list. Missing sizes are 0."""
     def one(f: Column) -> Column:
-        text = clean(f["content"])
-        cut_ = F.coalesce(f["truncated"], F.lit(False)) | is_clipped(text, limit)
-        return F.struct(clean(f["path"]).alias("path"), clip(text, limit).alias("content"), F.coalesce(f["size_bytes"].cast("bigint"), F.lit(0)).alias("size_bytes"), cut_.alias("truncated"))
+        def row(text: Column) -> Column:
+            cut_ = F.coalesce(f["truncated"], F.lit(False)) | is_clipped(text, limit)
+            return F.struct(clean(f["path"]).alias("path"), clip(text, limit).alias("content"), F.coalesce(f["size_bytes"].cast("bigint"), F.lit(0)).alias("size_bytes"), cut_.alias("truncated"))
+
+        return let(clean(f["content"]), row)
 
     present = F.filter(F.coalesce(files, F.array().cast(_FILES)), lambda f: f.isNotNull())
     return F.transform(present, one)
@@ -38,23 +40,24 @@ def pack_files(files: Column, budget: int = CONCAT_CHARS) -> Column:
 
     def step(a: Column, f: Column) -> Column:
         use = (a["left"] > 0) & ((f["path"] != "") | (f["content"] != ""))
-        whole = block(f)
-        b = clip(whole, a["left"].cast("int"))
-        more = F.when(use & is_clipped(whole, a["left"].cast("int")) & ~f["truncated"], 1).otherwise(0)
-        return F.struct(
-            F.when(use, a["left"] - F.length(b) - 2).otherwise(a["left"]).alias("left"),
-            F.when(use, F.concat(a["out"], F.array(b))).otherwise(a["out"]).alias("out"),
-            (a["n"] + more).alias("n"),
-        )
+
+        def add(whole: Column) -> Column:
+            def put(b: Column) -> Column:
+                more = F.when(is_clipped(whole, a["left"].cast("int")) & ~f["truncated"], 1).otherwise(0)
+                return F.struct((a["left"] - F.length(b) - 2).alias("left"), F.concat(a["out"], F.array(b)).alias("out"), (a["n"] + more).alias("n"))
+
+            return let(clip(whole, a["left"].cast("int")), put)
+
+        return F.when(use, let(block(f), add)).otherwise(a)
 
     end = F.aggregate(files, zero, step)
-    return F.struct(strip(F.array_join(end["out"], "\n\n")).alias("text"), end["n"].alias("n_clipped"))
+    return let(end, lambda e: F.struct(strip(F.array_join(e["out"], "\n\n")).alias("text"), e["n"].alias("n_clipped")))
 
 
 def full_text(name: Column, first: Column, description: Column, rest: Column, files: Column, limit: int = CONCAT_CHARS) -> Column:
     """Headed sections of the non-empty parts, clipped."""
     heads = ("# Skill Name", "# First Layer Description", "# Effective Description", "# Remaining Skill Markdown", "# Package Files")
-    parts = [F.when(c == "", "").otherwise(F.concat(F.lit(h + "\n"), c)) for h, c in zip(heads, (name, first, description, rest, files))]
+    parts = [headed(c, h + "\n") for h, c in zip(heads, (name, first, description, rest, files))]
     return clip(strip(join_parts(*parts, sep="\n\n")), limit)
 
 
@@ -83,7 +86,7 @@ def normalize(canonical: DataFrame, file_chars: int = FILE_CHARS, concat_chars:
             "package_files_text": F.col("_p.text"),
         }
     ).drop("_p")
-    full = out.withColumn("full_text", full_text(*(clean(F.col(c)) for c in ("name", "first_layer_description", "description_text", "skill_md_non_description", "package_files_text")), concat_chars))
+    full = out.withColumn("full_text", full_text(*map(F.col, ("name", "first_layer_description", "description_text", "skill_md_non_description")), clean(F.col("package_files_text")), concat_chars))
     return full.withColumn("text_char_count", F.length("full_text").cast("bigint"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.hashing import pool_and_split
-from millrace.functions.text import clean, clip, is_clipped, join_parts, tokens, wrap
+from millrace.functions.text import clean, clip, headed, is_clipped, join_parts, let, tokens, wrap
 from millrace.operators.normalize import _FILES, block
 
 
@@ -30,8 +30,7 @@ class Budgets:
 
 
 def metadata_section(name: Column, description: Column, limit: int = 0) -> Column:
-    n, d = clean(name), clean(description)
-    parts = [F.when(c == "", "").otherwise(F.concat(F.lit(k), c)) for k, c in (("name: ", n), ("description: ", d))]
+    parts = [headed(clean(c), k) for k, c in (("name: ", name), ("description: ", description))]
     return wrap(clip(join_parts(*parts), limit), "M")
 
 
@@ -48,28 +47,31 @@ def resource_section(files: Column, file_chars: int = 0, total: int = 0) -> Colu
     )
     blocks = F.transform(kept, lambda f: F.struct(block(F.struct(f["path"].alias("path"), clip(f["content"], file_chars).alias("content"))).alias("b"), is_clipped(f["content"], file_chars).alias("t")))
     if total <= 0:
-        out = F.transform(blocks, lambda x: x["b"])
-        n, cut_ = F.size(out), F.size(F.filter(blocks, lambda x: x["t"]))
-        body, dropped = F.array_join(out, "\n\n"), F.lit(0)
-    else:
-        zero = F.struct(F.lit(total).alias("left"), F.array().cast("array<string>").alias("out"), F.lit(0).alias("dropped"), F.lit(0).alias("cut"))
-
-        def step(a: Column, x: Column) -> Column:
-            first = F.size(a["out"]) == 0
-            room = F.when(first, a["left"]).otherwise(a["left"] - 2)
-            b = clip(x["b"], room)
-            ok = (a["left"] > 0) & (room > 0) & (b != "")
-            return F.struct(
-                F.when(ok, a["left"] - F.length(b) - F.when(first, 0).otherwise(2)).otherwise(a["left"]).alias("left"),
-                F.when(ok, F.concat(a["out"], F.array(b))).otherwise(a["out"]).alias("out"),
-                (a["dropped"] + F.when(ok, 0).otherwise(1)).alias("dropped"),
-                (a["cut"] + F.when(ok & (x["t"] | is_clipped(x["b"], room)), 1).otherwise(0)).alias("cut"),
-            )
-
-        end = F.aggregate(blocks, zero, step)
-        n, dropped, cut_, body = F.size(end["out"]), end["dropped"], end["cut"], F.array_join(end["out"], "\n\n")
+
+        def whole(v: Column) -> Column:
+            return _section(F.array_join(F.transform(v, lambda x: x["b"]), "\n\n"), F.size(v), F.lit(0), F.size(F.filter(v, lambda x: x["t"])))
+
+        return let(blocks, whole)
+    zero = F.struct(F.lit(total).alias("left"), F.array().cast("array<string>").alias("out"), F.lit(0).alias("dropped"), F.lit(0).alias("cut"))
+
+    def step(a: Column, x: Column) -> Column:
+        first = F.size(a["out"]) == 0
+        room = F.when(first, a["left"]).otherwise(a["left"] - 2)
+
+        def put(b: Column) -> Column:
+            more = F.when(x["t"] | is_clipped(x["b"], room), 1).otherwise(0)
+            kept = F.struct((a["left"] - F.length(b) - F.when(first, 0).otherwise(2)).alias("left"), F.concat(a["out"], F.array(b)).alias("out"), a["dropped"].alias("dropped"), (a["cut"] + more).alias("cut"))
+            gone = F.struct(a["left"].alias("left"), a["out"].alias("out"), (a["dropped"] + 1).alias("dropped"), a["cut"].alias("cut"))
+            return F.when((a["left"] > 0) & (room > 0) & (b != ""), kept).otherwise(gone)
+
+        return let(clip(x["b"], room), put)
+
+    return let(F.aggregate(blocks, zero, step), lambda e: _section(F.array_join(e["out"], "\n\n"), F.size(e["out"]), e["dropped"], e["cut"]))
+
+
+def _section(body: Column, n: Column, dropped: Column, clipped: Column) -> Column:
     none = n == 0
-    return F.struct(F.when(none, "").otherwise(wrap(body, "R")).alias("text"), n.alias("included"), dropped.alias("dropped"), F.when(none, 0).otherwise(cut_).alias("truncated"))
+    return F.struct(F.when(none, "").otherwise(wrap(body, "R")).alias("text"), n.alias("included"), dropped.alias("dropped"), F.when(none, 0).otherwise(clipped).alias("truncated"))
 
 
 def sections(records: DataFrame, b: Budgets = Budgets()) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions import hashing, text
 from millrace.operators import balance, challenge, identifiers, normalize, samples, spans, stats, variants, verdicts
 from millrace.plans import sql as q
-from millrace.session import load, prepare
+from millrace.session import cut, load, prepare
 from millrace.sources import readers
 from millrace.streaming import incremental
 
@@ -54,6 +54,11 @@ def phase1(spark: SparkSession, d: str) -> DataFrame:
     return samples.phase1(skills(spark, d))
 
 
+def written(spark: SparkSession, d: str) -> DataFrame:
+    """Samples as a written table, as the variant operators read them several times."""
+    return cut(phase1(spark, d).select("skill_id", "stage", "pool", "split", "text", "metadata_text", "instruction_text", "resource_text"))
+
+
 def verdict_rows(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "verdicts")
 
@@ -287,7 +292,7 @@ def donor_pool_sizes(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {q.SAMPLES}, {q.POOLS} select stage, pool, skill_id, pos from pools")
 def donor_positions(spark: SparkSession, d: str) -> DataFrame:
-    return variants.donor_pools(phase1(spark, d))
+    return variants.donor_pools(written(spark, d))
 
 
 _PATTERNS = "(values " + ", ".join(f"('{s}', '{p}', {2 if 'C' in m.values() else 1}, '{'+'.join(sorted(m))}')" for s, t in variants.T2.items() for p, m in t.items()) + ") p(stage, pattern, n, target)"
@@ -297,7 +302,7 @@ _PICKED = f"{q.SAMPLES}, {q.POOLS}, {_T2_REQ}, {q.donors('req')}"
 
 def _assigned(n: int) -> Query:
     def f(spark: SparkSession, d: str) -> DataFrame:
-        s = phase1(spark, d)
+        s = written(spark, d)
         out = variants.donors(variants.donor_requests(s).where(F.col("n") == n), variants.donor_pools(s), variants.Config().seed)
         return out.select("skill_id", "stage", "pattern", "k", F.array_join("donors", ",").alias("donors"))
 
@@ -330,12 +335,12 @@ def t1_permutations(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {_T2} {_row_sql('T2', 't2')}")
 def t2_swaps(spark: SparkSession, d: str) -> DataFrame:
-    return _row(variants.swapped(phase1(spark, d)))
+    return _row(variants.swapped(written(spark, d)))
 
 
 @query(f"with {_T2}, r as ({_row_sql('T2', 't2')}) select stage, target_layer, count(*) as n_rows from r group by all")
 def t2_target_layer_counts(spark: SparkSession, d: str) -> DataFrame:
-    return variants.label_counts(variants.swapped(phase1(spark, d)), ("stage", "target_layer")).withColumnRenamed("rows", "n_rows")
+    return variants.label_counts(variants.swapped(written(spark, d)), ("stage", "target_layer")).withColumnRenamed("rows", "n_rows")
 
 
 _INNER = lambda c, tag: f"coalesce(nullif(regexp_extract({c}, '(?s)^<{tag}>\\n(.*)\\n</{tag}>$', 1), ''), {c})"
@@ -350,17 +355,17 @@ _SPAN = f"""{q.SAMPLES}, {q.POOLS}, sreq as (select s.skill_id, s.stage, s.pool,
 
 @query(f"with {_SPAN} {_row_sql('T3b', 's4')}")
 def t3b_span_swap(spark: SparkSession, d: str) -> DataFrame:
-    return _row(variants.spliced(phase1(spark, d)))
+    return _row(variants.spliced(written(spark, d)))
 
 
 @query()
 def t3b_span_swap_mt(spark: SparkSession, d: str) -> DataFrame:
-    return _row(variants.spliced(phase1(spark, d), rng="mt"))
+    return _row(variants.spliced(written(spark, d), rng="mt"))
 
 
 @query(f"with {_SPAN}, {_T2_REQ}, {q.donors('req')}, t1 as ({_T1}), t2 as ({_T2.split(', t2 as (', 1)[1][:-1]}), every as (select stage, split, 'positive' label from samples union all select stage, split, 'T1' from ({_row_sql('T1', 't1')}) union all select stage, split, 'T2' from ({_row_sql('T2', 't2')}) union all select stage, split, 'T3b' from ({_row_sql('T3b', 's4')})) select stage, split, label, count(*) as n_rows from every group by all")
 def variants_label_counts(spark: SparkSession, d: str) -> DataFrame:
-    return variants.label_counts(variants.variants(phase1(spark, d))).withColumnRenamed("rows", "n_rows")
+    return variants.label_counts(variants.variants(written(spark, d))).withColumnRenamed("rows", "n_rows")
 
 
 @query(f"with {q.SAMPLES}, t1 as ({_T1}) select stage, count(*) as n_rows from t1 where {q.tokens('text')} <= case when stage = 'stage1' then 500 else 900 end group by 1")
