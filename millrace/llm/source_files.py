@@ -123,8 +123,9 @@ def reason(path: str | None, content: str | None) -> str | None:
         digits = sum(map(str.isdigit, body)) / len(body)
         if digits > 0.3:
             return "data"
-        if tight < (0.08 if ext in BRACES else 0.06) and signs > 0.12:
-            return "minified" if ext in BRACES else "tool"
+        # Only languages whose lines may be joined are minified; elsewhere a long line is a pattern or a text.
+        if ext in BRACES and tight < 0.08 and signs > 0.12:
+            return "minified"
     return None
 
 
