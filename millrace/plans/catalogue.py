@@ -36,22 +36,28 @@ def query(statement: str | None = None) -> Callable[[Query], Query]:
 # --- views over the test tables -------------------------------------------------------------------------------------
 
 
-def skills(spark: SparkSession, d: str) -> DataFrame:
-    """One row per skill; repeated records hold the same content, so the first by time is taken (a minimum, not a sort)."""
+#: Columns that phase-1 samples are made of.
+_SAMPLE = ("name", "description_text", "skill_md_non_description", "package_files", "text_char_count", "package_files_total_bytes")
+
+
+def skills(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """One row per skill with the given columns; repeated records hold the same content, so the first by time is taken
+    (a minimum, not a sort). Only these columns are read and shuffled."""
     df = load(spark, d, "normalized_skill_records").where("skill_id is not null")
-    rest = [c for c in df.columns if c != "skill_id"]
-    one = df.groupBy("skill_id").agg(F.min_by(F.struct(*rest), "ingested_at").alias("x"))
-    return one.select("skill_id", *(F.col(f"x.{c}").alias(c) for c in rest))
+    if not columns:
+        return df.select("skill_id").distinct()
+    one = df.groupBy("skill_id").agg(F.min_by(F.struct(*columns), "ingested_at").alias("x"))
+    return one.select("skill_id", *(F.col(f"x.{c}").alias(c) for c in columns))
 
 
 def canonical(spark: SparkSession, d: str) -> DataFrame:
-    s = skills(spark, d)
+    s = skills(spark, d, "name", "first_layer_description", "has_explicit_description_heading", "skill_md_description", "skill_md_non_description", "package_files")
     section = F.struct(F.col("has_explicit_description_heading").alias("found"), F.lit("Description").alias("heading"), F.col("skill_md_description").alias("content"))
     return s.select("skill_id", F.struct("name", F.col("first_layer_description").alias("description")).alias("first_layer"), F.struct(section.alias("description_section"), F.col("skill_md_non_description").alias("non_description")).alias("skill_md"), "package_files")
 
 
 def phase1(spark: SparkSession, d: str) -> DataFrame:
-    return samples.phase1(skills(spark, d))
+    return samples.phase1(skills(spark, d, *_SAMPLE))
 
 
 def written(spark: SparkSession, d: str) -> DataFrame:
@@ -99,7 +105,7 @@ _BAD = f"{_INDEX}, bad as (select skill_id from ix where oc = 'MALICIOUS')"
 select pool, split, stage, count(*) as n_rows, cast(sum({q.tokens('text')}) as bigint) as tokens from kept group by all""")
 def verdict_pool_split_counts(spark: SparkSession, d: str) -> DataFrame:
     v, small = verdicts.counted_index(index(spark, d))
-    kept = verdicts.judge(skills(spark, d), v, verdicts.Policy(), small).where("keep")
+    kept = verdicts.judge(skills(spark, d, *_SAMPLE), v, verdicts.Policy(), small).where("keep")
     return samples.phase1(kept).groupBy("pool", "split", "stage").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("total_tokens_est").alias("tokens"))
 
 
@@ -221,7 +227,7 @@ def normalize_report(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {q.SAMPLES} select skill_id, md5(m) as m_md5, md5(i) as i_md5 from secs")
 def metadata_instruction_sections(spark: SparkSession, d: str) -> DataFrame:
-    return samples.sections(samples.small_enough(skills(spark, d))).select("skill_id", F.md5("m").alias("m_md5"), F.md5("i").alias("i_md5"))
+    return samples.sections(samples.small_enough(skills(spark, d, *_SAMPLE))).select("skill_id", F.md5("m").alias("m_md5"), F.md5("i").alias("i_md5"))
 
 
 @query(f"""with recursive {q.SKILLS}, {q.FILES}, c as (select *, {q.clip('content', 300)} cc, length(content) > 300 t from files where path <> '' or content <> ''),
@@ -232,7 +238,7 @@ def metadata_instruction_sections(spark: SparkSession, d: str) -> DataFrame:
  last as (select skill_id, arg_max(row(txt, k, dr, cut), j) x from rec group by 1)
 select skill_id, md5(case when x[2] = 0 then '' else '<RESOURCE>' || {q.NL} || x[1] || {q.NL} || '</RESOURCE>' end) as r_md5, cast(x[2] as int) as included, cast(x[3] as int) as dropped, cast(case when x[2] = 0 then 0 else x[4] end as int) as truncated from last""")
 def resource_section(spark: SparkSession, d: str) -> DataFrame:
-    s = skills(spark, d).select("skill_id", samples.resource_section(F.col("package_files"), 300, 1000).alias("r"))
+    s = skills(spark, d, "package_files").select("skill_id", samples.resource_section(F.col("package_files"), 300, 1000).alias("r"))
     return s.select("skill_id", F.md5("r.text").alias("r_md5"), "r.included", "r.dropped", "r.truncated")
 
 
@@ -250,13 +256,13 @@ phase1_samples_stage1, phase1_samples_stage2 = _stage("stage1"), _stage("stage2"
 
 @query(f"with {q.SKILLS} select skill_id from skills where greatest(coalesce(text_char_count, 0), coalesce(package_files_total_bytes, 0)) <= 256000")
 def phase1_oversize_filter(spark: SparkSession, d: str) -> DataFrame:
-    return samples.small_enough(skills(spark, d)).select("skill_id")
+    return samples.small_enough(skills(spark, d, "text_char_count", "package_files_total_bytes")).select("skill_id")
 
 
 @query(f"""with {q.SAMPLES}, f as (select skill_id, m <> '' or i <> '' any_, {q.tokens(q.join_parts('m', 'i'))} <= 1000 o, r <> '' and {q.tokens(q.join_parts('m', 'i', 'r'))} <= 1500 t from secs)
 select cast(count_if(any_ and o or t) as bigint) as "any", cast(count_if(any_ and o) as bigint) as stage1, cast(count_if(t) as bigint) as stage2, cast(count_if(not (any_ and o or t)) as bigint) as "none", (select count(*) from skills) - count(*) as oversize from f""")
 def phase1_emit_counts(spark: SparkSession, d: str) -> DataFrame:
-    return samples.emit_counts(skills(spark, d), samples.Budgets(stage1_tokens=1000, stage2_tokens=1500))
+    return samples.emit_counts(skills(spark, d, *_SAMPLE), samples.Budgets(stage1_tokens=1000, stage2_tokens=1500))
 
 
 @query(f"with {q.SKILLS} select skill_id, {q.POOL} as pool, {q.SPLIT} as split from skills")
@@ -414,7 +420,7 @@ def generic_suffix(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _scores(patterns: list[str]) -> Query:
-    return lambda spark, d: spans.line_scores(skills(spark, d), "skill_id", "skill_md_non_description", patterns).groupBy("skill_id").agg(F.sum("score").cast("bigint").alias("score"), F.count(F.lit(1)).alias("n_lines"))
+    return lambda spark, d: spans.line_scores(skills(spark, d, "skill_md_non_description"), "skill_id", "skill_md_non_description", patterns).groupBy("skill_id").agg(F.sum("score").cast("bigint").alias("score"), F.count(F.lit(1)).alias("n_lines"))
 
 
 @query()
@@ -432,7 +438,7 @@ def line_scores_t3c(spark: SparkSession, d: str) -> DataFrame:
  w as (select skill_id, no as start, sum(sc) over (partition by skill_id order by no rows between current row and 7 following) score, count(*) over (partition by skill_id) n from s)
 select skill_id, cast(start as int) as start, cast(least(start + 8, n) as int) as stop, cast(score as double) as score from w where start = 0 or start + 8 <= n""")
 def span_window_scores(spark: SparkSession, d: str) -> DataFrame:
-    return spans.span_windows(skills(spark, d), "skill_id", "skill_md_non_description", ["--[a-z]"])
+    return spans.span_windows(skills(spark, d, "skill_md_non_description"), "skill_id", "skill_md_non_description", ["--[a-z]"])
 
 
 @query()
@@ -450,7 +456,7 @@ def t3a_stub_rewrite(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def parse_rewrites(spark: SparkSession, d: str) -> DataFrame:
     """Rewrites parsed from answers that the stand-in gives for whole instructions."""
-    s = skills(spark, d).where("skill_md_non_description is not null").select("skill_id", F.col("skill_md_non_description").alias("t"))
+    s = skills(spark, d, "skill_md_non_description").where("skill_md_non_description is not null").select("skill_id", F.col("skill_md_non_description").alias("t"))
 
     def run(batches):
         for b in batches:
@@ -529,7 +535,7 @@ def scrub_report(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {_BAD}, {q.SKILLS} select skill_id, name from skills where skill_id not in (select skill_id from bad)")
 def train_anti_join(spark: SparkSession, d: str) -> DataFrame:
-    return challenge.train_part(skills(spark, d), bad_ids(spark, d)).select("skill_id", "name")
+    return challenge.train_part(skills(spark, d, "name"), bad_ids(spark, d)).select("skill_id", "name")
 
 
 @query(f"with {_BAD}, f as (select skill_id, min(ingested_at) first_at from normalized_skill_records where skill_id in (select skill_id from bad) group by 1) select skill_id, epoch_us(first_at) as first_us from f")
@@ -547,7 +553,7 @@ def resume_anti_join(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {q.SKILLS} select skill_id from skills order by sha1('claude_t3a|' || skill_id), skill_id limit 25".replace("claude_t3a", "t3a_eval"))
 def topn_hash_sample(spark: SparkSession, d: str) -> DataFrame:
-    return balance.top_by_hash(skills(spark, d).select("skill_id"), 25, "t3a_eval", "skill_id")
+    return balance.top_by_hash(skills(spark, d), 25, "t3a_eval", "skill_id")
 
 
 # --- evaluation tables ----------------------------------------------------------------------------------------------
