@@ -217,9 +217,14 @@ def record_sha1_exact(spark: SparkSession, d: str) -> DataFrame:
     return normalize.record_sha1(normalize.normalize(canonical(spark, d))).select("skill_id", "record_sha1")
 
 
-@query()
+_CUT_FULL = _FULL.replace(", pk as (", f", c as (select * exclude (content), {q.clip('content', 12000)} content, was or length(content) > 12000 t from files), pk as (", 1).replace("from files where path", "from c where path", 1)
+
+
+@query(f"""with {_CUT_FULL}, a as (select count(*) files, sum(size_bytes) bytes, count_if(t) cut from c), r as (select count(*) n, avg(length(x)) mc from u)
+select n as "rows", cast(files as bigint) as files, cast(bytes as bigint) as bytes, cast(cut as bigint) as truncated, cast((select count_if({q.clean('skill_md_description')} = '' and {q.clean('first_layer_description')} <> '') from skills) as bigint) as fallbacks,
+ cast((select count_if(has_explicit_description_heading) from skills) as bigint) as headings, round(mc, 6) as mean_chars, round(files / n, 6) as mean_files from a, r""")
 def normalize_report(spark: SparkSession, d: str) -> DataFrame:
-    return normalize.report(normalize.normalize(canonical(spark, d)))
+    return normalize.report(normalize.normalize(canonical(spark, d))).withColumns({c: F.round(c, 6) for c in ("mean_chars", "mean_files")})
 
 
 # --- samples ------------------------------------------------------------------------------------------------------------
@@ -423,12 +428,18 @@ def _scores(patterns: list[str]) -> Query:
     return lambda spark, d: spans.line_scores(skills(spark, d, "skill_md_non_description"), "skill_id", "skill_md_non_description", patterns).groupBy("skill_id").agg(F.sum("score").cast("bigint").alias("score"), F.count(F.lit(1)).alias("n_lines"))
 
 
-@query()
+def _score_sql(patterns: list[str]) -> str:
+    one = lambda p: "len(regexp_extract_all(line, '" + p.replace("'", "''").replace('\\"', '"').replace(r"\w+\(", r"[\p{L}\p{N}\p{M}_]+\(").replace(r"\d", r"\p{Nd}") + "'))"
+    return f"""with {q.SKILLS}, l as (select skill_id, unnest(string_split(skill_md_non_description, chr(10))) line from skills where skill_md_non_description is not null)
+select skill_id, cast(sum(case when regexp_matches(line, '^{q.WS}*$') then 0 else {" + ".join(map(one, patterns))} end) as bigint) as score, count(*) as n_lines from l group by 1"""
+
+
+@query(_score_sql(spans.BEHAVIOUR))
 def line_scores_t3a(spark: SparkSession, d: str) -> DataFrame:
     return _scores(spans.BEHAVIOUR)(spark, d)
 
 
-@query()
+@query(_score_sql(spans.REFERENCES))
 def line_scores_t3c(spark: SparkSession, d: str) -> DataFrame:
     return _scores(spans.REFERENCES)(spark, d)
 
