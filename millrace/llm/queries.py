@@ -130,6 +130,16 @@ select t.stage, t.split, t.label from sampling_targets t left join have h on t.s
 where coalesce(h.n, 0) < greatest(t.min_rows, cast(round(t.target_share * t.sample_rows) as bigint))
 """
 
+ORACLE_SQL["p5_report"] = """
+with have as (
+  select lower(trim(stage)) stage, lower(trim(split)) split, lower(trim(label)) label, count(distinct sample_id) n
+  from variant_rows group by all),
+ t as (select t.*, greatest(t.min_rows, cast(round(t.target_share * t.sample_rows) as bigint)) wanted, coalesce(h.n, 0) available
+  from sampling_targets t left join have h on t.stage = h.stage and t.split = h.split and t.label = h.label)
+select *, least(wanted, available) as drawn, wanted - least(wanted, available) as missing,
+ least(wanted, available) / sample_rows as share, least(wanted, available) / sample_rows - target_share as share_gap from t
+"""
+
 
 @query
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
