@@ -24,7 +24,8 @@ def let(c: Column, f: Callable[[Column], Column]) -> Column:
 
 
 def rstrip(c: Column) -> Column:
-    return F.regexp_replace(c, SPACE + r"+\z", "")
+    # A run of spaces is tried from its start only, so that long runs cost no squares.
+    return F.regexp_replace(c, f"(?<!{SPACE}){SPACE}" + r"++\z", "")
 
 
 def strip(c: Column) -> Column:
@@ -36,7 +37,7 @@ def clean(c: Column) -> Column:
     blank line in a row."""
     t = F.coalesce(c, F.lit(""))
     t = F.translate(F.regexp_replace(t, "\r\n?", "\n"), "\x00", "")
-    t = F.regexp_replace(F.regexp_replace(t, "[ \t]+", " "), SPACE_IN_LINE + "+\n", "\n")
+    t = F.regexp_replace(F.regexp_replace(t, "[ \t]+", " "), f"(?<!{SPACE_IN_LINE}){SPACE_IN_LINE}++\n", "\n")
     return F.regexp_replace(strip(t), "\n{3,}", "\n\n")
 
 
