@@ -34,17 +34,18 @@ ISSUED = re.compile(
 )
 PEM = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----")
 _QUOTED = r"\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`"
+# Runs before a name are bounded, as they would else be scanned from each of their characters.
 #: name, then an assignment, a comma between arguments or a closing quote, then a literal or a bare value.
 ASSIGNED = re.compile(
-    rf"(?i)(?P<name>(?<![A-Za-z0-9])[\w.$-]*?{NAME})(?P<close>[\"'`\]]*)\s*(?P<op>\|\|=|\?\?=|:=|=>|:\s*=|=(?!=)|:(?!//)|,)\s*(?:new\s+\w+\()?\(?\s*(?P<lit>{_QUOTED})"
-    rf"|(?P<name2>(?<![A-Za-z0-9])[\w.$-]*?{NAME})(?P<op2>\s*(?:=|:)[ \t]*)(?P<bare>[^\s'\"`,;(){{}}\[\]|<>][^\s'\"`,;|<>]*)"
+    rf"(?i)(?P<name>(?<![A-Za-z0-9])[\w.$-]{{0,80}}?{NAME})(?P<close>[\"'`\]]*)\s*(?P<op>\|\|=|\?\?=|:=|=>|:\s*=|=(?!=)|:(?!//)|,)\s*(?:new\s+\w+\()?\(?\s*(?P<lit>{_QUOTED})"
+    rf"|(?P<name2>(?<![A-Za-z0-9])[\w.$-]{{0,80}}?{NAME})(?P<op2>\s*(?:=|:)[ \t]*)(?P<bare>[^\s'\"`,;(){{}}\[\]|<>][^\s'\"`,;|<>]*)"
 )
-HEADER = re.compile(rf"(?i)\b(?:x-[\w-]*(?:key|token|auth|secret)|(?:proxy-)?auth(?:orization)?)[\"'`]?\s*[:=,]\s*[\"'`]?(?:(?P<scheme>basic|bearer|token)\s+)?(?P<v>[^\s\"'`,;]+)")
-URL = re.compile(r"(?<![\w])[A-Za-z][A-Za-z0-9+.-]*://(?P<user>[^\s:/@\"'`]*):(?P<v>[^\s/\"'`<>]+)@[\w.\[-]")
+HEADER = re.compile(rf"(?i)\b(?:x-[\w-]{{0,80}}(?:key|token|auth|secret)|(?:proxy-)?auth(?:orization)?)[\"'`]?\s*[:=,]\s*[\"'`]?(?:(?P<scheme>basic|bearer|token)\s+)?(?P<v>[^\s\"'`,;]+)")
+URL = re.compile(r"(?<![\w])[A-Za-z][A-Za-z0-9+.-]{0,30}://(?P<user>[^\s:/@\"'`]*):(?P<v>[^\s/\"'`<>]+)@[\w.\[-]")
 SCHEME = re.compile(r"(?<![\w-])(?P<scheme>Basic|Bearer)\s+(?P<v>[A-Za-z0-9+/_.~!@#$%^&*=-]{8,})")
 USER = re.compile(r"(?<!\S)(?:-u|--user|--proxy-user)(?:\s+|=)[\"']?[^\s:\"']+:(?P<v>[^\s\"']+)")
 FLAG = re.compile(r"(?i)(?<!\S)--?(?:token|key|password|passwd|pass|secret|api-?key|auth-?token|access-?token|client-?secret|p)(?:\s+|=)(?P<q>[\"'`]?)(?P<v>[^\s\"'`]+)(?P=q)")
-PROSE = re.compile(rf"(?i)\b(?P<name>[\w -]*?\b{NAME}|[\w]*_key)\b(?:\s+(?:is|for|of|was)\b[^:`|\n]{{0,40}})?\s*(?:[:|]|\bis\b)?\s*(?P<q>[`\"'])(?P<v>[^`\"'\s]+)(?P=q)")
+PROSE = re.compile(rf"(?i)(?:(?<![A-Za-z0-9]){NAME}|\b\w{{1,80}}_key)\b(?:\s+(?:is|for|of|was)\b[^:`|\n]{{0,40}})?\s*(?:[:|]|\bis\b)?\s*(?P<q>[`\"'])(?P<v>[^`\"'\s]+)(?P=q)")
 PROSE_BARE = re.compile(rf"(?i)(?:/ |\b|_)(?P<name>{NAME})(?: (?:for|until|since|from|of|on|in|to) [\w -]{{1,40}})?(?::| is| was| /| =|) (?P<v>[^\s`\"'|,;]+)")
 TABLE = re.compile(rf"(?i)\|\s*[\w.-]*{NAME}\s*\|\s*(?P<v>[^\s|]+)\s*\|")
 CONT = re.compile(rf"\s*(?:\+|\.|\\)?\s*\n?\s*\+?\s*(?P<lit>{_QUOTED})")
@@ -120,6 +121,7 @@ def find(content: str | None, path: str | None = None) -> list[list[tuple[int, i
     code = ext in _CODE
     found: dict[int, list[tuple[int, int]]] = {}
     taken: list[tuple[int, int]] = []
+    marks: dict[int, int] = {}
 
     def add(spans: list[tuple[int, int]]) -> None:
         a, b = spans[0][0], spans[-1][1]
@@ -176,7 +178,7 @@ def find(content: str | None, path: str | None = None) -> list[list[tuple[int, i
                     add(spans)
             elif " " not in value.strip() and not is_none(value) and is_random(value, True):
                 add(spans)
-        elif not code or m["op2"].strip() == ":" and _in_comment(content, m.start()):
+        elif not code or m["op2"].strip() == ":" and _in_comment(content, m.start(), marks):
             v = m["bare"].rstrip(".)")
             at = m.start("bare")
             if not is_none(v) and is_random(v, True):
@@ -187,7 +189,7 @@ def find(content: str | None, path: str | None = None) -> list[list[tuple[int, i
             add([m.span("v")])
     for p in (PROSE, TABLE, PROSE_BARE):
         for m in p.finditer(content):
-            if code and p is not PROSE and not _in_comment(content, m.start("name") if p is PROSE_BARE else m.start()):
+            if code and p is not PROSE and not _in_comment(content, m.start("name") if p is PROSE_BARE else m.start(), marks):
                 continue
             v = m["v"].rstrip(".,:)") if p is PROSE_BARE else m["v"]
             if not is_none(v) and is_random(v, True) and (p is not PROSE_BARE or sum(c.isdigit() for c in v) >= 1):
@@ -198,9 +200,17 @@ def find(content: str | None, path: str | None = None) -> list[list[tuple[int, i
     return [found[a] for a in sorted(found)]
 
 
-def _in_comment(content: str, at: int) -> bool:
-    line = content[content.rfind("\n", 0, at) + 1 : at]
-    return bool(re.search(r"(?:^|\s)(?:#|//|/\*|\*|--|<!--)", line))
+_COMMENT = re.compile(r"(?:(?<=\s)|^)(?:#|//|/\*|\*|--|<!--)", re.M)
+
+
+def _in_comment(content: str, at: int, first: dict[int, int]) -> bool:
+    """Whether a comment mark stands before ``at`` in its line; ``first`` remembers each line's first mark."""
+    start = content.rfind("\n", 0, at) + 1
+    if start not in first:
+        end = content.find("\n", start)
+        m = _COMMENT.search(content, start, len(content) if end < 0 else end)
+        first[start] = m.end() if m else len(content) + 1
+    return first[start] <= at
 
 
 MASK = "[REDACTED]"

@@ -113,3 +113,12 @@ def test_personal_tables(spark):
     assert got == {1: want, 2: want, 6: {(k, a + shift) for k, a in want}}
     red = {r.doc_id: r.redacted for r in personal.redacted_texts(df).collect()}
     assert red[1] == "Mail to [EMAIL] now.\nOn-call: [NAME], [PHONE]." and red[3] is None and red[4] == ""
+
+
+@pytest.mark.parametrize("text", ["aB3-_" * 40_000, " " * 150_000 + "x", "([<{" * 30_000, "a@" * 60_000, "token alpha secret " * 8_000])
+def test_long_runs_end_soon(text):
+    import time
+
+    began = time.perf_counter()
+    credentials.find(text, "a.txt"), credentials.redact(text, "a.py"), source_files.reason("a.py", text)
+    assert time.perf_counter() - began < 20
