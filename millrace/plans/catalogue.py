@@ -562,7 +562,7 @@ def resume_anti_join(spark: SparkSession, d: str) -> DataFrame:
     return readers.not_done(tasks, v.where("label = 't3b'"), ["anchor_skill_id", "target_layer"])
 
 
-@query(f"with {q.SKILLS} select skill_id from skills order by sha1('claude_t3a|' || skill_id), skill_id limit 25".replace("claude_t3a", "t3a_eval"))
+@query(f"with {q.SKILLS} select skill_id from skills order by sha1('t3a_eval|' || skill_id), skill_id limit 25")
 def topn_hash_sample(spark: SparkSession, d: str) -> DataFrame:
     return balance.top_by_hash(skills(spark, d), 25, "t3a_eval", "skill_id")
 
