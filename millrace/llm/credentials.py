@@ -2,7 +2,8 @@
 
 Candidates are quoted strings and long tokens together with what names them: an assigned key, a header, a flag, a user part of
 an address, a phrase of prose. Each is judged by the Shannon entropy of its characters against a threshold that depends
-on its length, its alphabet and how strongly its name speaks of a credential; formats of well-known issuers and
+on its length, its alphabet and how strongly its name speaks of a credential; without a name it must also have ``UNNAMED``
+characters that change between kinds as random ones do. Formats of well-known issuers and
 private-key blocks stand for themselves. Placeholders, references to variables or vaults, digests, revisions, build ids
 and public keys are left out.
 
@@ -33,12 +34,14 @@ ISSUED = re.compile(
     r")(?![\w+/=])"
 )
 PEM = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----")
+#: What may follow that word in a name, as in password_staging or tokenProd.
+_REST = r"(?:(?:[_.$-]|\d|(?-i:(?<=[a-z])[A-Z]))[\w.$-]{0,80}+)?"
 _QUOTED = r"\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`"
 # Runs before a name are bounded, as they would else be scanned from each of their characters.
 #: name, then an assignment, a comma between arguments or a closing quote, then a literal or a bare value.
 ASSIGNED = re.compile(
-    rf"(?i)(?P<name>(?<![A-Za-z0-9])[\w.$-]{{0,80}}?{NAME})(?P<close>[\"'`\]]*)\s*(?P<op>\|\|=|\?\?=|:=|=>|:\s*=|=(?!=)|:(?!//)|,)\s*(?:new\s+\w+\()?\(?\s*(?P<lit>{_QUOTED})"
-    rf"|(?P<name2>(?<![A-Za-z0-9])[\w.$-]{{0,80}}?{NAME})(?P<op2>\s*(?:=|:)[ \t]*)(?P<bare>[^\s'\"`,;(){{}}\[\]|<>][^\s'\"`,;|<>]*)"
+    rf"(?i)(?P<name>(?<![A-Za-z0-9])[\w.$-]{{0,80}}?{NAME}(?P<rest>{_REST}))(?P<close>[\"'`\]]*)\s*(?P<op>\|\|=|\?\?=|:=|=>|:\s*=|=(?!=)|:(?!//)|,)\s*(?:new\s+\w+\()?\(?\s*(?P<lit>{_QUOTED})"
+    rf"|(?P<name2>(?<![A-Za-z0-9])[\w.$-]{{0,80}}?{NAME}(?P<rest2>{_REST}))(?P<op2>\s*(?:=|:)[ \t]*)(?P<bare>[^\s'\"`,;(){{}}\[\]|<>][^\s'\"`,;|<>]*)"
 )
 HEADER = re.compile(rf"(?i)\b(?:x-[\w-]{{0,80}}(?:key|token|auth|secret)|(?:proxy-)?auth(?:orization)?)[\"'`]?\s*[:=,]\s*[\"'`]?(?:(?P<scheme>basic|bearer|token)\s+)?(?P<v>[^\s\"'`,;]+)")
 URL = re.compile(r"(?<![\w])[A-Za-z][A-Za-z0-9+.-]{0,30}://(?P<user>[^\s:/@\"'`]*):(?P<v>[^\s/\"'`<>]+)@[\w.\[-]")
@@ -48,6 +51,8 @@ FLAG = re.compile(r"(?i)(?<!\S)--?(?:token|key|password|passwd|pass|secret|api-?
 PROSE = re.compile(rf"(?i)(?:(?<![A-Za-z0-9]){NAME}|\b\w{{1,80}}_key)\b(?:\s+(?:is|for|of|was)\b[^:`|\n]{{0,40}})?\s*(?:[:|]|\bis\b)?\s*(?P<q>[`\"'])(?P<v>[^`\"'\s]+)(?P=q)")
 PROSE_BARE = re.compile(rf"(?i)(?:/ |\b|_)(?P<name>{NAME})(?: (?:for|until|since|from|of|on|in|to) [\w -]{{1,40}})?(?::| is| was| /| =|) (?P<v>[^\s`\"'|,;]+)")
 TABLE = re.compile(rf"(?i)\|\s*[\w.-]*{NAME}\s*\|\s*(?P<v>[^\s|]+)\s*\|")
+# Words after NAME in a name that make it the name of something else than the credential.
+OTHER = re.compile(r"(?i)(?:^|[_.$-]|(?-i:(?<=[a-z])(?=[A-Z])))(?:ids?|names?|urls?|uri|paths?|files?|filename|dir|folder|counts?|len|length|min|max|size|limit|budget|types?|kind|method|mode|hash|hashed|digest|checksum|sha\d*|env|var|variable|expir\w*|ttl|age|date|time|timeout|at|refs?|reference|arn|provider|version|policy|field|column|header|prefix|suffix|label|class|endpoint|host|port|scopes?|format|pattern|regex|status|error|message|hint|prompt|help|desc|description|user|username|email|public|pub|fingerprint)(?=$|[_.$-]|\d|(?-i:[A-Z]))")
 CONT = re.compile(rf"\s*(?:\+|\.|\\)?\s*\n?\s*\+?\s*(?P<lit>{_QUOTED})")
 
 _PLACE = re.compile(
@@ -56,6 +61,22 @@ _PLACE = re.compile(
 _REFER = re.compile(r"\$\{|\$\(|\{\{|\}\}|<[\w -]+>|^\$\w|^%\w+%$|^@|process\.env|os\.environ|getenv|ENV\[|secrets?\.|vault[:./]|^(?:env|ref|ssm|kms|arn|file|op|keyring|vault)[:/]|^\w+\(|^\{[\w.]+\}$")
 _HEX, _UUID = re.compile(r"(?i)^[0-9a-f]{16,}$"), re.compile(r"(?i)^[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
 _PUBLIC = re.compile(r"^(?:ssh-|ecdsa-|sha\d+[:-]|md5[:-]|-----BEGIN (?:PUBLIC|CERT))")
+#: Values of names with a rest that are none: dates, times, versions.
+_WHEN = re.compile(r"^v?\d{1,4}(?:[-./:]\w{1,6})+Z?$")
+#: Share of log2(min(n, size)) that a value with a name keeps at least.
+NAMED = 0.6
+#: Shortest value that may be a credential without a name.
+UNNAMED = 20
+#: Quoted strings and long tokens that nothing names.
+LONG = re.compile(rf"(?P<q>[\"'`])(?P<v>[^\"'`\s]{{{UNNAMED},}})(?P=q)|(?<![\w+/~!@#$%^&*.-])(?P<t>[\w+/~!@#$%^&*.-]{{{UNNAMED},}}={{0,2}})")
+#: Parts of such strings that make them an address, a path, a word list, a digest, a blob or a piece of code.
+_KNOWN = re.compile(r"://|^[.~]?/|^\w[\w.+-]*@[\w-]+\.|^data:|^(?:[\w.-]+/)+[\w.-]*\.\w{1,5}$|^(?:v?\d+[.-])+|[(){}\[\]<>;]|\\[xu]|^[\w.-]+=[\w.-]*$|^AAAA[A-Z]3|%[0-9A-Fa-f]{2}")
+#: Words before such a string that tell what else it is.
+_SPEAKS = re.compile(r"(?i)(?:sha-?\d*|md5|digest|checksum|hash|integrity|commit|revision|\brev|build|fingerprint|etag|uuid|guid|\bid|_id|public|\bpub|ssh-\w+|ecdsa-\S+|certificate|\bcert|signature|\bsig|blob|base64|version|image|tag|seed|nonce|trace|span|request|session_?id|example|sample|placeholder)[\w.-]*[\"'`\])]*\s*(?:is|=>|:=|[:=@,(])?\s*[\"'`(]?$")
+#: Blocks of public keys and certificates.
+_BLOCK = re.compile(r"-----BEGIN (?P<what>[A-Z0-9 ]+)-----.*?(?:-----END (?P=what)-----|\Z)", re.S)
+#: Characters from which a base64 text without a name is a blob.
+BLOB = 128
 _CODE = frozenset("py js ts go jsx tsx java rb rs c h cpp cs php swift kt scala sql css".split())
 #: Shortest value that may be a credential.
 LEAST = 6
@@ -94,8 +115,14 @@ def is_random(v: str, named: bool) -> bool:
         if n >= 8 and v.isalpha() and v.islower():  # letters only: no word has four consonants in a row or so few vowels
             return bool(re.search(r"[bcdfghjklmnpqrstvwxz]{4}", v)) or sum(c in "aeiouy" for c in v) < n / 5
         mixed = digits or (any(c.isupper() for c in v[1:]) and any(c.islower() for c in v) and n >= 12)
-        return bool(mixed) and not v.isdigit() and e >= min(t, 2.2)
-    return n >= 20 and e >= max(t, 3.2) and bool(digits) and any(c.isalpha() for c in v)
+        if n > 8:  # words joined by marks repeat their letters
+            t = max(2.2, NAMED * math.log2(min(n, alphabet(v))))
+        return bool(mixed) and not v.isdigit() and e >= t
+    if not (n >= UNNAMED and e >= max(t, 3.2) and digits and any(c.isalpha() for c in v)):
+        return False
+    kinds = [0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3 for c in v]
+    pairs = [a != b for a, b in zip(kinds, kinds[1:]) if a != 3 and b != 3]
+    return sum(pairs) >= 0.18 * max(1, len(pairs))  # words and numbers keep to one kind of character for longer
 
 
 def is_none(v: str) -> bool:
@@ -158,7 +185,7 @@ def find(content: str | None, path: str | None = None) -> list[list[tuple[int, i
     for m in ASSIGNED.finditer(content):
         if m["lit"]:
             lit, at = m["lit"], m.start("lit")
-            if m["op"] == "," and not m["close"]:
+            if m["op"] == "," and not m["close"] or _names_other(m["rest"], lit[1:-1]):
                 continue
             spans, value = [(at + 1, at + len(lit) - 1)], lit[1:-1]
             pos = m.end("lit")
@@ -181,7 +208,7 @@ def find(content: str | None, path: str | None = None) -> list[list[tuple[int, i
         elif not code or m["op2"].strip() == ":" and _in_comment(content, m.start(), marks):
             v = m["bare"].rstrip(".)")
             at = m.start("bare")
-            if not is_none(v) and is_random(v, True):
+            if not _names_other(m["rest2"], v) and not is_none(v) and is_random(v, True):
                 add([(at, at + len(v))])
     for m in FLAG.finditer(content):
         v = m["v"]
@@ -197,9 +224,47 @@ def find(content: str | None, path: str | None = None) -> list[list[tuple[int, i
     for m in ISSUED.finditer(content):
         if not is_none(m[0]) and entropy(m[0]) >= 3:
             add([m.span()])
+    blocks = [m.span() for m in _BLOCK.finditer(content)]
+    for m in LONG.finditer(content):
+        kind = "v" if m["v"] else "t"
+        v = m[kind] if kind == "v" else m["t"].rstrip(".:,!")
+        a = m.start(kind)
+        if is_unnamed(v) and not _SPEAKS.search(content[max(content.rfind("\n", 0, a) + 1, a - 60) : a]) and not any(x <= a < y for x, y in blocks) and not _blob(content, a, a + len(v)):
+            add([(a, a + len(v))])
     return [found[a] for a in sorted(found)]
 
 
+#: A line that is one encoded run, as wide as encoders write them; the last of a block may be shorter.
+_ROW, _LAST = re.compile(r"\s*[\"'`]?[A-Za-z0-9+/_=-]{56,}[\"'`]?[\\,;+)\s]*$"), re.compile(r"\s*[\"'`]?[A-Za-z0-9+/_=-]+[\"'`]?[\\,;+)\s]*$")
+_SHORT = re.compile(r"\s*([\"'`])[A-Za-z0-9+/_=-]{8,}\1[\\;+)\s]*$|" + _ROW.pattern)
+#: Lines around a string in which such a line makes it part of a blob; others may have been put between.
+AROUND = 3
+
+
+def is_unnamed(v: str) -> bool:
+    """Whether a string is random enough without a name, and nothing else that is random."""
+    return len(v) < BLOB and is_random(v, False) and not (is_none(v) or _HEX.match(v) or _UUID.search(v) or _KNOWN.search(v) or any(map(_HEX.match, re.split(r"[^A-Za-z0-9]+", v))))
+
+
+def _names_other(rest: str, v: str) -> bool:
+    """Whether what follows the credential word in a name makes it another thing, or the value is a date or version."""
+    return bool(rest) and bool(OTHER.search(rest) or _WHEN.match(v))
+
+
+def _blob(content: str, a: int, b: int) -> bool:
+    """Whether a string stands alone in its line and one of the lines around it is an encoded run too."""
+    start, end = content.rfind("\n", 0, a) + 1, content.find("\n", b)
+    end = len(content) if end < 0 else end
+    if not _LAST.match(content, start, end):
+        return False
+    x, y = start, end
+    for _ in range(AROUND):
+        x, y = content.rfind("\n", 0, max(0, x - 1)) + 1, content.find("\n", y + 1) if y < len(content) else y
+        y = len(content) if y < 0 else y
+    kind = _SHORT if _ROW.match(content, start, end) else _ROW  # a row's neighbour may be the short last one
+    return any(kind.match(line) for line in content[x : max(x, start - 1)].split("\n") + content[end + 1 : y].split("\n"))
+
+
 _COMMENT = re.compile(r"(?:(?<=\s)|^)(?:#|//|/\*|\*|--|<!--)", re.M)
 
 

@@ -37,6 +37,27 @@ def test_no_credentials(path, content):
     assert credentials.find(content, path) == [] and credentials.redact(content, path) == content
 
 
+RANDOM = "k9Rm2Xv7Qp4Lz8Wn3Tb6Yc1D"
+
+
+@pytest.mark.parametrize("path,content", [("a.py", f'connect("prod", "{RANDOM}")'), ("a.yaml", f"- {RANDOM}"), ("a.py", f'xs = [\n    "{RANDOM}",\n    "x",\n]'), ("a.py", f'password_staging = "{WORD}"'), ("a.js", f"const dbPasswordProd = '{WORD}';"), ("a.env", f"API_KEY_2={WORD}"), ("a.env", f"PALETTE={RANDOM}"), ("a.env", f"DB_PASSWORD_SERVICE={WORD}")])
+def test_unnamed_strings_and_names_with_a_rest(path, content):
+    assert len(credentials.find(content, path)) == 1 and RANDOM not in credentials.redact(content, path)
+
+
+@pytest.mark.parametrize(
+    "path,content",
+    [("a.py", f"# build id {RANDOM}"), ("a.py", f'commit = "{"4479e4aaeb1e7d038d0f" * 2}"'), ("a.py", f'x = "https://a.test/{RANDOM}"'), ("a.py", "callback_nadil_2025_v3_handler()"), ("a.py", 'token_url = "svc4821-Ab"'), ("a.yaml", "secret_name: Torvex-4821"), ("a.yaml", "token_rotated: 2025-11-03"), ("a.py", 'author = "Torvex-4821"'), ("a.py", f'X = (\n    "{(RANDOM * 4)[:76]}"\n    "{RANDOM}"\n)'), ("a.py", "4fc87ff8-be46-75b1-e98d-e0abd1ee9961")],
+)
+def test_other_random_strings_are_no_credentials(path, content):
+    assert credentials.find(content, path) == []
+
+
+def test_named_values_are_judged_by_length_and_alphabet():
+    assert not credentials.is_random("aab1aab1aab1aab1aab1", True) and not credentials.is_random("ab12ab12ab12ab12ab12", True) and credentials.is_random(WORD, True)
+    assert credentials.is_random("linrin-trivirik-95", True) and credentials.is_random("zelzelran-velwenten-19", True)
+
+
 def test_entropy():
     assert credentials.entropy("") == 0 and credentials.entropy("aaaa") == 0 and abs(credentials.entropy("abcd") - 2) < 1e-9
 
