@@ -47,12 +47,22 @@ _MARK = re.compile(r"^\s*(?:/\*+!?|//+!?|#+|--+|\*+|<!--|;+|\"\"\"|'''|%+|\(\*|<
 _END = re.compile(r"\s*(?:\*/|-->|\"\"\"|''')\s*")
 _WORD, _NUM, _STR = re.compile(r"[^\W\d_]\w*"), re.compile(r"(?<![\w.])-?(?:0[xX][0-9a-fA-F]+|\d+(?:\.\d+)?(?:[eE][+-]?\d+)?)(?![\w.])"), re.compile(r"\"[^\"\n]*\"|'[^'\n]*'")
 _RUN = re.compile(r"[A-Za-z0-9+/=_-]{40,}|(?:\\x[0-9a-fA-F]{2}){16,}|(?:0x[0-9a-fA-F]{2},\s*){8,}")
-#: Lines of the head in which a statement counts; local lines may stand before it.
+# Marks between which block comments stand.
+_BLOCKS = (("/*", "*/"), ("<!--", "-->"), ('"""', '"""'), ("'''", "'''"), ("(*", "*)"), ("--[[", "]]"))
+#: Lines in which any statement counts, also right above code: local lines may stand before it.
 HEAD_LINES = 12
+#: Statements that are about the file wherever they stand, and code before which any statement is.
+STRONG = re.compile(
+    r"(?i)^(?:@generated|<auto-?generated)|^(?:this|the)\s+(?:file|module|source|document|script|schema|header)\s|^(?:code|file|source|automatically)\s+(?:auto-?|automatically\s+)?generated\s+by|^(?:auto-?|machine-?)?generated (?:file|code|automatically|by [\w./-]+(?: v?\d|[.;,]? do not))"
+    r"|generated\b.*\b(?:do not|don't|never) (?:edit|modify|change)\b|^(?:auto-?)?generated by .*\b(?:compiler|generator)\b"
+    r"|^(?:do not|don't|never) (?:edit|modify|change)\W*(?:$|this file|by hand|manually|directly)|^[^\x00-\x7f]|^(?:diese datei|automatisch (?:erzeugt|generiert)|fichier |archivo |fichero |arquivo )"
+)
+_OPENS = re.compile(r"\s*(?:import|from|package|use|using|require|include|#\s*include|#\s*pragma|module|namespace|library|@charset|'use strict'|\"use strict\"|syntax)\b|\s*$")
+_HEREDOC = re.compile(r"<<[-~]?\s*[\"']?([A-Za-z_]\w*)[\"']?")
 #: Characters from which a line counts as long.
 LONG_LINE = 160
 _PEM = re.compile(r"-----BEGIN [A-Z ]+-----.*?(?:-----END [A-Z ]+-----|\Z)", re.S)
-_BUNDLE = re.compile(r"/\*{4,}/|__webpack_require__|__modules__\s*=|System\.register\(|define\.amd")
+_BUNDLE = re.compile(r"/\*{4,}/(?=[ \t]*\S)|__webpack_require__\s*[(.]|__modules__\s*=|System\.register\(|define\.amd")
 
 
 def layout(content: str) -> dict[str, float]:
@@ -74,15 +84,61 @@ def layout(content: str) -> dict[str, float]:
     }
 
 
-def _statements(content: str) -> Iterator[str]:
-    """Comment texts of the head, one per comment start."""
-    for line in content.split("\n")[:HEAD_LINES]:
-        for part in re.split(r"(?<=\*/)\s*(?=//|/\*)", line):
+def _statements(content: str) -> Iterator[tuple[str, bool]]:
+    """Comment texts with whether they can be about the file only by what they say. Read are the comments before the first code, with the
+    lines of block comments and docstrings, and after it those that aren't indented; strings over several lines are passed over."""
+    lines = content.split("\n")
+    last = {x.strip(): k for k, x in enumerate(lines)} | {q: k for q in ('"""', "'''", "`") for k, x in enumerate(lines) if q in x}  # where a string may end
+    end, text, code, loud = "", False, False, True  # mark that ends a block or string, whether that is a comment, code seen, whether the last text ended a sentence
+    for k, line in enumerate(lines):
+        parts = re.split(r"(?<=\*/)\s*(?=//|/\*)", line)
+        for part in parts:
+            bare = part.strip()
+            if end:
+                if text and bare:
+                    m = _MARK.match(part)
+                    said = _END.sub("", part[m.end() if m else 0 :]).strip()
+                    if said and (loud or not said[0].islower()):
+                        yield said, code and k >= HEAD_LINES
+                    loud = not said or said[-1] in ".!?:;"
+                if end in part if not end.isidentifier() else bare == end:
+                    end, loud = "", True
+                continue
+            opened = next((x for x in _BLOCKS if bare.startswith(x[0])), None)
             m = _MARK.match(part)
-            if m and m.end() < len(part):
-                yield _END.sub("", part[m.end() :]).strip()
-                if part.lstrip().startswith("<"):
-                    yield part.strip()
+            deep = code and k >= HEAD_LINES
+            if m and not (deep and part[:1].isspace()):
+                said = _END.sub("", part[m.end() :]).strip()
+                weak = deep and not _OPENS.match(next((x for x in lines[k + 1 : k + 2]), ""))
+                if said and (loud or not deep or not said[0].islower()):
+                    yield said, weak
+                    if bare.startswith("<"):
+                        yield bare, weak
+                loud = not said or said[-1] in ".!?:;" or bool(opened and opened[1] in bare[len(opened[0]) :])
+            else:
+                loud = True
+            if opened:
+                if opened[1] not in bare[len(opened[0]) :]:
+                    end, text = opened[1], not (deep and part[:1].isspace())
+            elif bare and not m:
+                code = True
+                for q in ('"""', "'''", "`"):
+                    if bare.count(q) % 2 and last.get(q, 0) > k:
+                        end, text = q, False
+                        break
+                else:
+                    h = _HEREDOC.search(bare)
+                    if h and last.get(h[1], 0) > k:
+                        end, text = h[1], False
+
+
+def _bundled(content: str) -> bool:
+    """Whether a mark of a bundle stands in the code, not in a string or comment."""
+    for m in _BUNDLE.finditer(content):
+        before = content[content.rfind("\n", 0, m.start()) + 1 : m.start()]
+        if not re.search(r"//|^\s*[#*]|/\*(?!.*\*/)", before) and not any(before.count(q) % 2 for q in "\"'`"):
+            return True
+    return False
 
 
 def reason(path: str | None, content: str | None) -> str | None:
@@ -101,15 +157,15 @@ def reason(path: str | None, content: str | None) -> str | None:
     prose = ext in ("md", "rst", "txt", "adoc")
     if not prose:
         said = list(_statements(content))
-        if any(MADE.search(s) for s in said):
+        if any(MADE.search(s) and (not weak or STRONG.search(s)) for s, weak in said):
             return "tool"
-        if any(COPIED.search(s) for s in said):
+        if any(COPIED.search(s) for s, _ in said):
             return "third_party"
     if ext not in CODE:
         return None
     content = _PEM.sub("", content)  # a key in a file doesn't make the file data
     x = layout(content)
-    if _BUNDLE.search(content[:2000]):
+    if _bundled(content):
         return "tool"
     if x["encoded"] > 0.5 or x["encoded"] > 0.25 and x["longest"] > 400:
         return "data"

@@ -73,6 +73,19 @@ MADE = [
     ("l.py", "# lib 7.21 - copied unchanged from the upstream release\n" + HAND, "third_party"), ("d.py", "import base64\nX = (\n" + '    "' + "QUJDREVGR0hJSktMTU5PUFFSU1RVVldYWVo0" * 2 + '"\n' * 1 + ")\n" + ('"' + "QUJDREVG" * 9 + '"\n') * 20, "data"),
     ("d.h", "static const unsigned char a[] = {\n" + "  0x71, 0x5f, 0x3e, 0x77, 0x7b, 0x85,\n" * 20 + "};", "data"), ("d.sql", "-- rows\n" + "".join(f"INSERT INTO a VALUES ({i}, 'x{i}', {i}.5);\n" for i in range(20)), "data"), ("g.py", "# 自動生成ファイル: x により出力\nimport a\n", "tool"),
 ]
+APACHE = "".join(f"{{c}} license line {i} of many\n" for i in range(16))
+ADDED = "".join(f"def local_{i}(x):\n    return x + {i}\n\n" for i in range(6))
+LATE = [
+    ("g.py", APACHE.replace("{c}", "#") + "# Generated by tool 4.2 on 2025-01-01\nimport a\n", "tool"), ("g.go", APACHE.replace("{c}", "//") + "\n// Code generated by thing; DO NOT EDIT.\npackage a\n", "tool"),
+    ("g.c", "/*\n" + APACHE.replace("{c}", "") + "\n  This file is generated by x.\n*/\nint a;\n", "tool"), ("g.py", '"""Tables.\n\nGenerated by tool 4.2 from a.proto\n"""\nX = 1\n', "tool"),
+    ("g.py", ADDED + "# Generated by tool 4.2 on 2025-01-01\nimport a\n", "tool"), ("l.py", ADDED + "# lib 7.21 - copied unchanged from the upstream release\n" + HAND, "third_party"), ("g.py", ADDED + "# Code generated by x. DO NOT EDIT.\nX = 1\n", "tool"),
+    ("g_pb2.py", ADDED + "# Generated by the x message compiler.  DO NOT EDIT!\n# source: a.msg\n_A = _d.Add(start=1)\n", "tool"), ("g_pb2.py", "T = 'x'\n# Generated by the x message tool\n# source: a.msg\n_A = _d.Add(start=1)\n", "tool"),
+    ("b.js", "function local(x) {\n  return x;\n}\n" * 80 + "var a = __webpack_require__(12);\n", "tool"),
+]
+ONLY_SPOKEN = [
+    ("g.py", HAND + 'HEAD = """\n# Code generated by x. DO NOT EDIT.\n"""\n'), ("g.js", "const a = 1;\nconst t = `\n// Code generated by x. DO NOT EDIT.\n`;\n"), ("g.sh", "set -e\ncat > a.go <<EOF\n// Code generated by x. DO NOT EDIT.\nEOF\nls\n"),
+    ("g.py", HAND + "# Generated from the request when it arrives\nTOKENS = {}\n"), ("g.py", '"""Loads rows that were\ngenerated by the nightly job."""\n' + HAND), ("g.py", HAND + "    # generated by the server\n    x = 1\n"), ("b.js", "const a = 1;\nconst mark = '__webpack_require__(';\n// __webpack_require__(1)\n"), ("b.css", "/*****/\na { color: red; }\n"),
+]
 WRITTEN = [
     ("a.py", HAND), ("a.py", "# Copyright (c) A Authors\n# SPDX-License-Identifier: MIT\n" + HAND), ("generate.py", "HEADER = '# Code generated by x. DO NOT EDIT.'\n" + HAND), ("a.js", "// ids are auto-generated by the server, so do not edit them in the ui\nconst a = require('b');\n"),
     ("x.min.yaml", "# the minimal setup\nname: a\n"), ("vendor.md", "# Third party\nHow to review generated and vendored code.\n"), ("build/check.sh", "#!/bin/sh\nset -eu\nls\n"), ("a.py", "LIMITS = [1, 2, 3, 4]\n# tuned by hand\n" + HAND), ("a.json", '{"a": 1}'), (None, HAND), ("a.py", None), ("a.py", " \n"),
@@ -86,6 +99,16 @@ def test_made_files(path, content, why):
     assert source_files.reason(path, content) == why
 
 
+@pytest.mark.parametrize("path,content,why", LATE)
+def test_statements_and_marks_count_below_the_first_lines(path, content, why):
+    assert source_files.reason(path, content) == why
+
+
+@pytest.mark.parametrize("path,content", ONLY_SPOKEN)
+def test_statements_in_strings_or_about_other_things_do_not_count(path, content):
+    assert source_files.reason(path, content) is None
+
+
 @pytest.mark.parametrize("path,content", WRITTEN)
 def test_written_files(path, content):
     assert source_files.reason(path, content) is None
