@@ -146,6 +146,32 @@ def test_personal_pieces_on_held_out_sentences():
     assert tp / (tp + fp) > 0.95 and tp / (tp + fn) > 0.95
 
 
+@pytest.fixture(scope="module")
+def name_model():
+    return (*personal.fit(), personal.fit_pairs())
+
+
+@pytest.mark.parametrize("frame,name", [("Thanks to {} for it.", "Priyanka Shah"), ("Reviewed by {} on the second pass.", "José Núñez"), ("My name is {} and I cannot log in.", "Shah Priyanka"), ("On-call: {}, later.", "Иван Петров"), ("Signed-off-by: {} <x>", "Zoë Brandt"), ("Reported-by: {}", "Shah, Priyanka"), ('"full_name": "{}"', "Oluwaseun Adeyemi")])
+def test_names_outside_the_list(frame, name, name_model):
+    text = frame.format(name)
+    assert personal.pieces([text], *name_model) == [[(4, text.index(name), text.index(name) + len(name))]]
+    assert not any(fmt < 3 and personal.fold(m["g"]) not in personal.GIVEN and len(m["g"]) > 2 for _, fmt, *_, m in personal.candidates(text) if m)
+
+
+def test_capitalised_pairs_that_are_no_names(name_model):
+    texts = ["The Release Notes are here. Run the Visual Studio build.", "# Getting Started\n\nQuick Start, Street Map and Main Road are the names.", "See Section 4.2 of the Parwin Upload Guide."]
+    assert personal.pieces(texts, *name_model) == [[], [], []]
+
+
+def test_unlisted_names_on_held_out_sentences(name_model):
+    rows = personal.labelled(1500, seed=77, listed=False)
+    tp = fp = fn = 0
+    for (_, want), found in zip(rows, personal.pieces([t for t, _ in rows], *name_model)):
+        f, w = {a for k, a, _ in found if k == 4}, {a for k, a in want if k == 4}
+        tp, fp, fn = tp + len(f & w), fp + len(f - w), fn + len(w - f)
+    assert tp / (tp + fp) > 0.95 and tp / (tp + fn) > 0.8
+
+
 def test_personal_tables(spark):
     t = "Mail to ann.bell@corp.example now.\nOn-call: Maria Lorvett, +44 20 7946 0123."
     df = spark.createDataFrame([(1, t, 0), (2, t, 0), (3, None, 0), (4, "", 0), (5, "  ", 0), (6, "plain 🚀 text " * 3000 + t, 0)], "doc_id bigint, text string, start_pos int")
