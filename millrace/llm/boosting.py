@@ -6,7 +6,7 @@ import numpy as np
 
 
 class BoostedTrees:
-    """Logistic loss, histogram splits of equal depth; deterministic for given rows."""
+    """Logistic loss, histogram splits level by level; deterministic for given rows."""
 
     def __init__(self, rounds: int = 60, depth: int = 4, rate: float = 0.2, least: int = 8, bins: int = 32, l2: float = 1.0):
         self.rounds, self.depth, self.rate, self.least, self.bins, self.l2 = rounds, depth, rate, least, bins, l2
@@ -21,54 +21,49 @@ class BoostedTrees:
         self.trees = []
         for _ in range(self.rounds):
             p = 1 / (1 + np.exp(-score))
-            tree = self._grow(b, p - y, np.maximum(p * (1 - p), 1e-6))
+            tree, add = self._grow(b, p - y, np.maximum(p * (1 - p), 1e-6))
             self.trees.append(tree)
-            score += self._walk(tree, x)
+            score += add
         return self
 
-    def _grow(self, b: np.ndarray, g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        size = 1 << self.depth
+    def _grow(self, b: np.ndarray, g: np.ndarray, h: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], np.ndarray]:
+        """A tree and what it adds to each row's score. Histograms of all nodes of a level and all features are counted at once."""
+        size, (n, m) = 1 << self.depth, b.shape
         feature, cut, value = np.full(size, -1), np.zeros(size, np.float32), np.zeros(size << 1)
-        node = np.ones(len(g), np.int64)
+        node = np.ones(n, np.int64)
+        at = np.arange(m) * self.bins
+        flat = b + at
+        last = np.array([len(c) for c in self.cuts])
         for level in range(self.depth):
-            for k in range(1 << level, 2 << level):
-                rows = np.flatnonzero(node == k)
-                if len(rows) < 2 * self.least:
-                    continue
-                gs, hs = g[rows].sum(), h[rows].sum()
-                best = (1e-6, -1, 0)
-                for f in range(b.shape[1]):
-                    m = len(self.cuts[f])
-                    if not m:
-                        continue
-                    col = b[rows, f]
-                    gl = np.cumsum(np.bincount(col, g[rows], m + 1))[:-1]
-                    hl = np.cumsum(np.bincount(col, h[rows], m + 1))[:-1]
-                    nl = np.cumsum(np.bincount(col, minlength=m + 1))[:-1]
-                    gain = gl**2 / (hl + self.l2) + (gs - gl) ** 2 / (hs - hl + self.l2) - gs**2 / (hs + self.l2)
-                    gain[(nl < self.least) | (len(rows) - nl < self.least)] = -1
-                    at = int(gain.argmax())
-                    if gain[at] > best[0]:
-                        best = (gain[at], f, at)
-                if best[1] >= 0:
-                    feature[k], cut[k] = best[1], self.cuts[best[1]][best[2]]
-                    node[rows] = 2 * k + (b[rows, best[1]] > best[2])
-        leaves = np.unique(node)
-        for k in leaves:
-            rows = node == k
-            v = -g[rows].sum() / (h[rows].sum() + self.l2) * self.rate
-            value[k] = v
-        return feature, cut, value
+            first = 1 << level
+            open_ = np.flatnonzero((node >= first) & (node < 2 * first))  # rows whose node can still be split
+            if not len(open_):
+                break
+            slot = ((node[open_] - first)[:, None] * (m * self.bins) + flat[open_]).ravel()
+            total = first * m * self.bins
+            count, gs, hs = (np.cumsum(np.bincount(slot, w, total).reshape(first, m, self.bins), axis=2) for w in (None, np.repeat(g[open_], m), np.repeat(h[open_], m)))
+            k, sg, sh = count[:, :, -1:], gs[:, :, -1:], hs[:, :, -1:]
+            gain = gs**2 / (hs + self.l2) + (sg - gs) ** 2 / (sh - hs + self.l2) - sg**2 / (sh + self.l2)
+            gain[(count < self.least) | (k - count < self.least)] = -1
+            gain[:, np.arange(self.bins)[None, :] >= last[:, None]] = -1
+            gain = gain.reshape(first, -1)
+            best = gain.argmax(axis=1)
+            for j in np.flatnonzero(gain[np.arange(first), best] > 1e-6):
+                f, c = divmod(int(best[j]), self.bins)
+                feature[first + j], cut[first + j] = f, self.cuts[f][c]
+                rows = open_[node[open_] == first + j]
+                node[rows] = 2 * (first + j) + (b[rows, f] > c)
+        gs, hs = np.bincount(node, g, size << 1), np.bincount(node, h, size << 1)
+        value = -gs / (hs + self.l2) * self.rate
+        return (feature, cut, value), value[node]
 
     def _walk(self, tree: tuple[np.ndarray, np.ndarray, np.ndarray], x: np.ndarray) -> np.ndarray:
         feature, cut, value = tree
-        node = np.ones(len(x), np.int64)
+        node, rows = np.ones(len(x), np.int64), np.arange(len(x))
         for _ in range(self.depth):
-            inner = node < len(feature)
-            f = np.where(inner, feature[np.where(inner, node, 0)], -1)
-            go = f >= 0
-            right = x[np.arange(len(x)), np.maximum(f, 0)] > cut[np.where(inner, node, 0)]
-            node = np.where(go, 2 * node + right, node)
+            inner = np.where(node < len(feature), node, 0)
+            f = feature[inner]
+            node = np.where(f >= 0, 2 * node + (x[rows, f] > cut[inner]), node)
         return value[node]
 
     def predict(self, x: np.ndarray) -> np.ndarray:
