@@ -55,9 +55,25 @@ def test_other_random_strings_are_no_credentials(path, content):
     assert credentials.find(content, path) == []
 
 
-def test_named_values_are_judged_by_length_and_alphabet():
-    assert not credentials.is_random("aab1aab1aab1aab1aab1", True) and not credentials.is_random("ab12ab12ab12ab12ab12", True) and credentials.is_random(WORD, True)
-    assert credentials.is_random("linrin-trivirik-95", True) and credentials.is_random("zelzelran-velwenten-19", True)
+def test_values_are_judged_by_length_alphabet_and_evidence():
+    E = credentials.Evidence
+    assert not credentials.is_random("aab1aab1aab1aab1aab1", E.NAME) and not credentials.is_random("ab12ab12ab12ab12ab12", E.NAME) and credentials.is_random(WORD, E.NAME)
+    assert credentials.is_random("linrin-trivirik-95", E.NAME) and credentials.is_random("zelzelran-velwenten-19", E.NAME) and not credentials.is_random(WORD, E.NONE) and credentials.is_random(RANDOM, E.NONE)
+    assert credentials.is_random("xjvoehqypx", E.NAME) and not any(credentials.is_random(w, E.NAME) for w in ("required", "DefaultCredentialsProvider", "token-reader"))
+    shares = [credentials.threshold(24, 64, e) for e in sorted(E)]
+    assert shares == sorted(shares, reverse=True) and credentials.threshold(8, 64) < credentials.threshold(24, 64) and credentials.threshold(24, 16) < credentials.threshold(24, 64)
+
+
+def test_the_threshold_decides(monkeypatch):
+    """Without a threshold words and repeated characters pass; above any entropy nothing does."""
+    dull = [("a.py", 'password = "aaaaaaaaaaaaaaaaabc1"'), ("a.yaml", "token: 1111111111111aaaaabc"), ("a.md", "| db | secret | aaaa-aaaa-aaaa-aaaa-bc1 |"), ("a.sh", "curl -u bob:aaaaaaaaaaaaaabc1 https://x.test"), ("a.py", 'x = ["a1a1a1a1a1a1a1a1a1a1a1a1bc"]')]
+    count = lambda: (sum(len(credentials.find(c, p)) for p, c, _ in HELD), sum(len(credentials.find(c, p)) for p, c in dull))
+    usual = count()
+    assert usual[0] >= len(HELD) and usual[1] == 0
+    monkeypatch.setattr(credentials, "threshold", lambda *a: 0.0)
+    assert count()[1] >= 4
+    monkeypatch.setattr(credentials, "threshold", lambda *a: 99.0)
+    assert count() == (0, 0)
 
 
 def test_entropy():
