@@ -51,7 +51,8 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def p2_reasons(spark: SparkSession, d: str) -> DataFrame:
-    return source_files.made_files(_files(spark, d)).groupBy("reason").agg(F.count(F.lit(1)).alias("files"))
+    """Files by reason and by what told it: layout, place or statement."""
+    return source_files.made_files(_files(spark, d)).groupBy("reason", "found_by").agg(F.count(F.lit(1)).alias("files"))
 
 
 @query
