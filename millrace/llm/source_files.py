@@ -47,6 +47,8 @@ LIMITS = {
 }
 #: Characters of dense lines from which a file is minified, and their least share of it; dense lines in a row that may be shorter, and how long they are at least.
 DENSE, DENSE_SHARE, ROW, ROW_LENGTH = 300, 0.3, 4, 60
+#: Least share of signs in minified code.
+SIGNS = 0.12
 #: Lines of one shape that make a table.
 TABLE = 8
 # Directories of third-party code.
@@ -59,10 +61,10 @@ VERSION, MAPPINGS = re.compile(r"\"version\"\s*:\s*3\b"), re.compile(r"\"mapping
 _BY_TOOL = r"(?:generated|created|produced|written|emitted|built|compiled|exported|transpiled|rendered)"
 #: What a head comment says of its file, from the start of the comment on.
 MADE = re.compile(
-    rf"(?i)^(?:@|<)?\s*(?:auto-?|machine-?)?generated\b(?!\s+(?:ids?|names?|files? are|values?|code is)\b)(?:\s+(?:by|from|with|using|on|at|via|file|code|automatically|at)\b|\s*[/>.:;,!-]|\s*$)"
+    rf"(?i)^(?:@|<)?\s*(?:(?:auto-?|machine-?|tool-?)?generated|(?:auto-?|machine-?|tool-?)(?:written|made|produced))\b(?!\s+(?:ids?|names?|files? are|values?|code is)\b)(?:\s+(?:by|from|with|using|on|at|via|file|code|automatically|at)\b|\s*[/>.:;,!-]|\s*$)"
     rf"|^(?:this|the)\s+(?:file|code|module|source|document|script|class|schema|header)\s+(?:is|was|has been|were)\s+(?:auto-?\s?|automatically\s+|machine-?\s?)?{_BY_TOOL}\b"
     rf"|^(?:code|file|source|automatically|autogenerated)\s+(?:auto-?|automatically\s+)?{_BY_TOOL}\b"
-    rf"|^(?:do not|don't|never) (?:edit|modify|change)\b|^output of (?:the|a) \w+|^(?:re-?generate|run .* to regenerate)\b"
+    rf"|^(?:do not|don't|never) (?:edit|modify|change)\b|\b(?:manual|hand|local)(?:ly)?[ -](?:edits?|changes?|modifications?)\b.*\b(?:overwritten|lost|discarded|undone|reverted)\b|^output of (?:the|a) \w+|^(?:re-?generate|run .* to regenerate)\b"
     r"|^(?:archivo|fichero|código|arquivo) (?:auto)?(?:generado|gerado)|^(?:generado|gerado) (?:autom|por)|^(?:fichier|code) (?:auto-?)?(?:produit|généré)|^généré (?:par|auto)"
     r"|^(?:automatisch|maschinell) (?:erzeugt|generiert|erstellt)|^(?:generiert|erzeugt) (?:von|aus|durch)|^diese datei wurde|^自動生成|^自动生成|^此文件(?:由|是)|^このファイルは自動|^(?:автоматически|файл создан)|^file generato|^자동 생성"
 )
@@ -71,6 +73,7 @@ COPIED = re.compile(
     r"|^(?:vendored|copied|taken|imported|bundled)\s+(?:\w+\s+)?(?:unchanged\s+|verbatim\s+)?(?:from|copy|in from)|^(?:upstream|third[- ]party) (?:copy|release|code|source|library)|^this (?:file|code|module) (?:is|was) (?:vendored|copied|taken|imported)"
 )
 _MARK = re.compile(r"^\s*(?:/\*+!?|//+!?|#+|--+|\*+|<!--|;+|\"\"\"|'''|%+|\(\*|<)\s*")
+_NOTE = re.compile(r"(?i)^(?:note|nb|warning|caution|attention|important|notice)\s*[:!–-]+\s*(?=\w)")
 _END = re.compile(r"\s*(?:\*/|-->|\"\"\"|''')\s*")
 _WORD, _NUM, _STR = re.compile(r"[^\W\d_]\w*"), re.compile(r"(?<![\w.])-?(?:0[xX][0-9a-fA-F]+|\d+(?:\.\d+)?(?:[eE][+-]?\d+)?)(?![\w.])"), re.compile(r"\"[^\"\n]*\"|'[^'\n]*'")
 _SHAPE_NUM = re.compile(r"\d+(?:\.\d+)?")
@@ -80,10 +83,11 @@ _BLOCKS = (("/*", "*/"), ("<!--", "-->"), ('"""', '"""'), ("'''", "'''"), ("(*",
 #: Statements that are about the file wherever they stand, and code before which any statement is.
 STRONG = re.compile(
     r"(?i)^(?:@generated|<auto-?generated)|^(?:this|the)\s+(?:file|module|source|document|script|schema|header)\s|^(?:code|file|source|automatically)\s+(?:auto-?|automatically\s+)?generated\s+by|^(?:auto-?|machine-?)?generated (?:file|code|automatically|by [\w./-]+(?: v?\d|[.;,]? do not))"
+    r"|^(?:auto-?|machine-?|tool-?)(?:written|made|produced|generated) (?:by|from|with)|\b(?:manual|hand|local)(?:ly)?[ -](?:edits?|changes?|modifications?)\b.*\b(?:overwritten|lost|discarded|undone|reverted)\b"
     r"|generated\b.*\b(?:do not|don't|never) (?:edit|modify|change)\b|^(?:auto-?)?generated by .*\b(?:compiler|generator)\b"
     r"|^(?:do not|don't|never) (?:edit|modify|change)\W*(?:$|this file|by hand|manually|directly)|^[^\x00-\x7f]|^(?:diese datei|automatisch (?:erzeugt|generiert)|fichier |archivo |fichero |arquivo )"
 )
-_OPENS = re.compile(r"\s*(?:import|from|package|use|using|require|include|#\s*include|#\s*pragma|module|namespace|library|@charset|'use strict'|\"use strict\"|syntax)\b|\s*$")
+_OPENS = re.compile(r"\s*(?:import|from|package|use|using|require|include|#\s*include|#\s*pragma|module|namespace|library|@charset|'use strict'|\"use strict\"|syntax)\b|\s*$|[#/*\s-]+source: \S")
 _HEREDOC = re.compile(r"<<[-~]?\s*[\"']?([A-Za-z_]\w*)[\"']?")
 _PEM = re.compile(r"-----BEGIN [A-Z ]+-----.*?(?:-----END [A-Z ]+-----|\Z)", re.S)
 _BUNDLE = re.compile(r"/\*{4,}/(?=[ \t]*\S)|__webpack_require__\s*[(.]|__modules__\s*=|System\.register\(|define\.amd")
@@ -131,19 +135,17 @@ def layout_reason(path: str | None, content: str | None) -> str | None:
     m, x = LIMITS.get(ext, Limits()), layout(content)
     if x["encoded"] > m.encoded or x["encoded"] > m.encoded / 2 and x["longest"] > m.longest or x["numeric"] > m.numeric or x["alnum"] > m.alnum and x["mean"] > m.mean:
         return "data"
+    body = _dense(content, m) if m.tight else ""
+    if m.tight and x["mean"] > m.mean and x["space"] <= m.tight:
+        body = content
+    if body and len(body) >= min(DENSE, 0.6 * len(content)) and (len(body) >= DENSE_SHARE * len(content) or len(body) >= 4 * DENSE):
+        if sum(map(str.isdigit, body)) > 0.3 * len(body):
+            return "data"
+        if 1 - sum(c.isalnum() or c.isspace() for c in body) / len(body) > SIGNS:
+            return "minified"
     if x["lines"] >= TABLE and x["same"] >= m.same:
         return "data" if x["literal"] > m.literal or x["numeric"] > 0.08 or ext == "sql" else "tool"
-    if not m.tight:
-        return None
-    body = _dense(content, m)
-    if x["mean"] > m.mean and x["space"] <= m.tight:
-        body = content
-    if len(body) < min(DENSE, 0.6 * len(content)) or len(body) < DENSE_SHARE * len(content) and len(body) < 4 * DENSE:
-        return None
-    if sum(map(str.isdigit, body)) > 0.3 * len(body):
-        return "data"
-    signs = 1 - sum(c.isalnum() or c.isspace() for c in body) / len(body)
-    return "minified" if signs > 0.12 else None
+    return None
 
 
 def _extension(path: str | None) -> str:
@@ -222,7 +224,7 @@ def stated_reason(path: str | None, content: str | None) -> tuple[str, str] | No
     if ext == "map" and VERSION.search(content) and MAPPINGS.search(content):
         return "tool", "place"
     if ext not in ("md", "rst", "txt", "adoc"):
-        said = list(_statements(content))
+        said = [(_NOTE.sub("", s), weak) for s, weak in _statements(content)]
         if any(MADE.search(s) and (not weak or STRONG.search(s)) for s, weak in said):
             return "tool", "statement"
         if any(COPIED.search(s) for s, _ in said):

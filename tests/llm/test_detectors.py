@@ -98,9 +98,11 @@ LATE = [
     ("g.c", "/*\n" + APACHE.replace("{c}", "") + "\n  This file is generated by x.\n*/\nint a;\n", "tool"), ("g.py", '"""Tables.\n\nGenerated by tool 4.2 from a.proto\n"""\nX = 1\n', "tool"),
     ("g.py", ADDED + "# Generated by tool 4.2 on 2025-01-01\nimport a\n", "tool"), ("l.py", ADDED + "# lib 7.21 - copied unchanged from the upstream release\n" + HAND, "third_party"), ("g.py", ADDED + "# Code generated by x. DO NOT EDIT.\nX = 1\n", "tool"),
     ("g_pb2.py", ADDED + "# Generated by the x message compiler.  DO NOT EDIT!\n# source: a.msg\n_A = _d.Add(start=1)\n", "tool"), ("g_pb2.py", "T = 'x'\n# Generated by the x message tool\n# source: a.msg\n_A = _d.Add(start=1)\n", "tool"),
+    ("b.ts", "import { a } from './a';\n\nfunction b(x) {\n  const y = x;\n// WARNING: machine-written with the schema tool; manual changes will be lost\n  return y;\n}\n", "tool"),
     ("b.js", "function local(x) {\n  return x;\n}\n" * 80 + "var a = __webpack_require__(12);\n", "tool"),
 ]
 ONLY_SPOKEN = [
+    ("n.py", HAND + "# NOTE: the server keeps edits made by hand\nX = 1\n"), ("n.ts", "// Notes are written by people, and changes of theirs are kept\nconst a = 1;\n"),
     ("g.py", HAND + 'HEAD = """\n# Code generated by x. DO NOT EDIT.\n"""\n'), ("g.js", "const a = 1;\nconst t = `\n// Code generated by x. DO NOT EDIT.\n`;\n"), ("g.sh", "set -e\ncat > a.go <<EOF\n// Code generated by x. DO NOT EDIT.\nEOF\nls\n"),
     ("g.py", HAND + "# Generated from the request when it arrives\nTOKENS = {}\n"), ("g.py", '"""Loads rows that were\ngenerated by the nightly job."""\n' + HAND), ("g.py", HAND + "    # generated by the server\n    x = 1\n"), ("b.js", "const a = 1;\nconst mark = '__webpack_require__(';\n// __webpack_require__(1)\n"), ("b.css", "/*****/\na { color: red; }\n"),
 ]
@@ -117,6 +119,22 @@ def test_made_files(path, content, why):
     assert source_files.reason(path, content) == why
 
 
+BY_LAYOUT = [
+    ("w.js", "\n".join("".join(f'var {c}{i}=q({i},"{c}");' for c in "abcdef")[:100] for i in range(12)), "minified"), ("m.js", HAND.replace("#", "//") * 6 + _min_js(12), "minified"),
+    ("t.py", "NAMES = [\n" + "".join(f'    "name of row {i}",\n' for i in range(20)) + "]\n", "data"), ("e.go", 'package a\n\nvar x = "' + "QUJDREVGR0hJSktMTU5PUFFSU1RVVldYWVo0" * 20 + '"\n', "data"), ("p.ts", "".join(f"export type A{i} = B{i};\n" for i in range(12)), "tool"),
+]
+
+
+@pytest.mark.parametrize("path,content,why", BY_LAYOUT)
+def test_layout_alone(path, content, why):
+    assert source_files.judged(path, content) == (why, "layout")
+
+
+def test_limits_differ_by_language():
+    table = "".join(f"INSERT INTO a VALUES ({i}, 'x{i}', {i}.5);\n" for i in range(20))
+    assert source_files.layout_reason("a.sql", table) == "data" and source_files.layout_reason("a.css", _min_js()) == "minified" and source_files.layout_reason("a.py", _min_js()) is None and source_files.layout_reason("a.md", table) is None
+
+
 @pytest.mark.parametrize("path,content,why", LATE)
 def test_statements_and_marks_count_below_the_first_lines(path, content, why):
     assert source_files.reason(path, content) == why
@@ -137,7 +155,7 @@ def test_file_tables(spark):
     df = spark.createDataFrame([("s", files, "clash"), ("s", files, "clash"), (None, files, ""), ("n", None, ""), ("z", [], "")], f"skill_id string, package_files {FILES}, path string")
     fs = credentials.files(df)
     assert {tuple(r) for r in credentials.credential_lines(fs).collect()} == {("s", "a.py", 1), ("s", None, 1)}
-    assert {tuple(r) for r in source_files.made_files(fs).collect()} == {("s", "g.go", "tool")}
+    assert {tuple(r) for r in source_files.made_files(fs).collect()} == {("s", "g.go", "tool", "statement")}
     red = {(r.path, r.n): r.redacted for r in credentials.redacted_files(fs).collect()}
     assert red["a.py", 1] == 'token = "[REDACTED]"' and red["long.py", 0] == HAND * 2000
     for t in (credentials.credential_lines(fs.where("false")), source_files.made_files(fs.where("false"))):
