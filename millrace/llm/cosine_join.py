@@ -11,7 +11,8 @@ found:
    a vector may leave its tail out of the lists as long as the tail's norm, or the tail's sum of products with the
    greatest weight that the term has on the other side, stays below the threshold. Both sides are cut so, and the
    lists are joined by term. Frequencies and greatest weights come from all vectors, in a hashed table of fixed size;
-   terms that share a slot share its sums, which keeps one order for all and only loosens the bounds.
+   terms that share a slot share its sums, which keeps one order for all and only loosens the bounds. Both tables are
+   merged as trees of ``FAN_IN`` and start anew with four times the size, up to a bound, if they are more than ``FULL``.
 3. *Bound on the rest.* A pair's partial dot product plus the product of both residual norms after its last shared
    prefix term must reach the threshold.
 4. *Exact dot products* of the full vectors for what is left.
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,10 +36,14 @@ from millrace.session import cut
 
 #: Slack for rounding in comparisons of floating-point sums.
 EPS = 1e-9
-#: log2 of the bits of the vocabulary table: 16 MiB, whatever the input.
-TABLE_BITS = 27
-#: log2 of the slots of the table of frequencies and greatest weights: 24 MiB.
-STAT_BITS = 21
+#: log2 of the bits of the vocabulary table at first and at most: 16 and 128 MiB, whatever the input.
+TABLE_BITS, TABLE_MOST = 27, 30
+#: log2 of the slots of the table of frequencies and greatest weights at first and at most: 16 and 64 MiB.
+STAT_BITS, STAT_MOST = 21, 23
+#: Share of used bits or slots beyond which a table is made anew with four times the size.
+FULL = 0.6
+#: Pages of one place that are merged in one group, however many tasks made them.
+FAN_IN = 64
 _PAGE = 1 << 16
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -46,8 +52,24 @@ def _slots(terms: np.ndarray, bits: int) -> np.ndarray:
     return (terms.view(np.uint64) * _MUL) >> np.uint64(64 - bits)
 
 
+def merged(pages: DataFrame, both) -> pa.Table:
+    """Pages ``(page, task, ...)`` merged to one per page by a tree: a group holds at most ``FAN_IN`` of them, so its size
+    doesn't depend on the number of tasks. ``both`` merges the pages of a table into one row, without ``task``."""
+    schema = pages.schema
+
+    def merge(t: pa.Table) -> pa.Table:
+        task = t.column("task").slice(0, 1)
+        return both(t.drop(["task"])).append_column("task", task).select(schema.names)
+
+    while True:
+        up = pages.withColumn("task", F.floor(F.col("task") / FAN_IN).cast("int"))
+        pages = cut(up.groupBy("page", "task").applyInArrow(merge, schema))
+        if not pages.agg(F.max("task")).first()[0]:
+            return pages.drop("task").toArrow()
+
+
 def vocabulary_table(df: DataFrame, bits: int = TABLE_BITS) -> bytes:
-    """Bit table over the column ``terms``; its size is ``2**bits`` bits at any input size."""
+    """Bit table over the column ``terms``, of ``2**bits`` bits or more if these fill up; see :func:`table_bits`."""
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(1 << (bits - 3), np.uint8)
@@ -61,25 +83,29 @@ def vocabulary_table(df: DataFrame, bits: int = TABLE_BITS) -> bytes:
         if some:
             pages = table.reshape(-1, min(_PAGE, len(table)))
             at = np.flatnonzero(pages.any(axis=1))
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array([pages[i].tobytes() for i in at], pa.binary())], ["page", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array([TaskContext.get().partitionId()] * len(at), pa.int32()), pa.array([pages[i].tobytes() for i in at], pa.binary())], ["page", "task", "bits"])
 
-    def either(key: tuple, t: pa.Table) -> pa.Table:
+    def either(t: pa.Table) -> pa.Table:
         out = None
-        for b in t.column("bits").iterchunks():
-            for x in b:
-                v = np.frombuffer(x.as_buffer(), np.uint8)
-                out = v.copy() if out is None else np.bitwise_or(out, v, out=out)
-        return pa.table({"page": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([out.tobytes()], pa.binary())})
-
-    pages = df.select("terms").where(F.col("terms").isNotNull()).mapInArrow(local, "page int, bits binary")
-    rows = pages.groupBy("page").applyInArrow(either, "page int, bits binary").toArrow()
+        for x in t.column("bits"):
+            v = np.frombuffer(x.as_buffer(), np.uint8)
+            out = v.copy() if out is None else np.bitwise_or(out, v, out=out)
+        return pa.table({"page": t.column("page").slice(0, 1), "bits": pa.array([out.tobytes()], pa.binary())})
+
+    rows = merged(df.select("terms").where(F.col("terms").isNotNull()).mapInArrow(local, "page int, task int, bits binary"), either)
     size = 1 << (bits - 3)
     table = np.zeros((size // min(_PAGE, size), min(_PAGE, size)), np.uint8)
     for p, x in zip(rows.column("page").to_pylist(), rows.column("bits").to_pylist()):
         table[p] = np.frombuffer(x, np.uint8)
+    if bits < TABLE_MOST and np.bitwise_count(table).sum() > FULL * (1 << bits):
+        return vocabulary_table(df, min(TABLE_MOST, bits + 2))
     return table.tobytes()
 
 
+def table_bits(table: bytes) -> int:
+    return len(table).bit_length() + 2
+
+
 def _vectors(b: pa.RecordBatch, names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Lengths, terms and weights of a batch of vectors."""
     lists = b.column(names.index("terms"))
@@ -90,9 +116,9 @@ def _vectors(b: pa.RecordBatch, names: list[str]) -> tuple[np.ndarray, np.ndarra
     return n, t, np.repeat(1 / np.sqrt(np.maximum(n, 1)), n)
 
 
-def within(df: DataFrame, table: bytes, threshold: float, bits: int = TABLE_BITS) -> DataFrame:
+def within(df: DataFrame, table: bytes, threshold: float) -> DataFrame:
     """Vectors whose part inside the table's vocabulary has a norm of at least ``threshold``."""
-    held = df.sparkSession.sparkContext.broadcast(table)
+    held, bits = df.sparkSession.sparkContext.broadcast(table), table_bits(table)
     names = df.columns
 
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +137,7 @@ def within(df: DataFrame, table: bytes, threshold: float, bits: int = TABLE_BITS
 
 
 def term_stats(df: DataFrame, bits: int = STAT_BITS) -> tuple[np.ndarray, np.ndarray]:
-    """By slot, how many vectors have its terms, and the greatest weight; of fixed size."""
+    """By slot, how many vectors have its terms, and the greatest weight; of ``2**bits`` slots or more if these fill up."""
     names, page = df.columns, 1 << 14
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,21 +149,28 @@ def term_stats(df: DataFrame, bits: int = STAT_BITS) -> tuple[np.ndarray, np.nda
             np.maximum.at(top, s, np.nextafter(w.astype(np.float32), np.float32(2)))
         at = np.flatnonzero(count.reshape(-1, page).any(axis=1))
         rows = [(count.reshape(-1, page)[i].tobytes(), top.reshape(-1, page)[i].tobytes()) for i in at]
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *(pa.array([r[k] for r in rows], pa.binary()) for k in (0, 1))], ["page", "n", "top"])
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array([TaskContext.get().partitionId()] * len(at), pa.int32()), *(pa.array([r[k] for r in rows], pa.binary()) for k in (0, 1))], ["page", "task", "n", "top"])
 
-    def both(key: tuple, t: pa.Table) -> pa.Table:
-        n = sum(np.frombuffer(x, np.int64) for x in t.column("n").to_pylist())
-        top = np.maximum.reduce([np.frombuffer(x, np.float32) for x in t.column("top").to_pylist()])
-        return pa.table({"page": pa.array([key[0].as_py()], pa.int32()), "n": pa.array([n.tobytes()], pa.binary()), "top": pa.array([top.tobytes()], pa.binary())})
+    def both(t: pa.Table) -> pa.Table:
+        n = sum(np.frombuffer(x.as_buffer(), np.int64) for x in t.column("n"))
+        top = np.maximum.reduce([np.frombuffer(x.as_buffer(), np.float32) for x in t.column("top")])
+        return pa.table({"page": t.column("page").slice(0, 1), "n": pa.array([n.tobytes()], pa.binary()), "top": pa.array([top.tobytes()], pa.binary())})
 
-    schema = "page int, n binary, top binary"
-    rows = df.mapInArrow(local, schema).groupBy("page").applyInArrow(both, schema).toArrow()
+    rows = merged(df.mapInArrow(local, "page int, task int, n binary, top binary"), both)
     count, top = np.zeros((1 << bits) // page * page, np.int64).reshape(-1, page), np.zeros((1 << bits), np.float32).reshape(-1, page)
     for p, n, w in zip(*(rows.column(c).to_pylist() for c in ("page", "n", "top"))):
         count[p], top[p] = np.frombuffer(n, np.int64), np.frombuffer(w, np.float32)
+    if bits < STAT_MOST and np.count_nonzero(count) > FULL * count.size:
+        return term_stats(df, min(STAT_MOST, bits + 2))
     return count.ravel(), top.ravel()
 
 
+def _shared_slots(*stats: tuple[np.ndarray, np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Tables of one size: a greater one is folded, as the first bits of a slot are its slot in a lesser one."""
+    size = min(len(n) for n, _ in stats)
+    return [(n.reshape(size, -1).sum(axis=1), top.reshape(size, -1).max(axis=1)) for n, top in stats]
+
+
 def prefixes(df: DataFrame, own: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray], threshold: float) -> DataFrame:
     """``(id, term, w, r)``: the index part of each vector, its rare terms up to where the tail can no longer reach the
     threshold alone; ``r`` is the norm of what comes after the term. Terms whose slot is empty on the other side add to
@@ -172,10 +205,10 @@ def prefixes(df: DataFrame, own: tuple[np.ndarray, np.ndarray], other: tuple[np.
     return df.mapInArrow(index, f"id {df.schema['id'].dataType.simpleString()}, term bigint, w double, r double")
 
 
-def cosine_join(left: DataFrame, right: DataFrame | None, threshold: float, prune: bool = True) -> DataFrame:
+def cosine_join(left: DataFrame, right: DataFrame | None, threshold: float, ready: bool = False) -> DataFrame:
     """Pairs ``(id_a, id_b, dot, shared, size_a, size_b)`` of ``left`` and ``right`` with ``dot >= threshold``; with no
     ``right``, of ``left`` with itself and ``id_a < id_b``. ``threshold`` must lie in (0, 1]. Inputs are cut
-    (checkpointed) after pruning, as they are used several times."""
+    (checkpointed) after pruning, as they are used several times; with ``ready`` the caller has done both."""
     if not 0 < threshold <= 1:
         raise ValueError("threshold must lie in (0, 1]")
     own = right is None
@@ -187,12 +220,10 @@ def cosine_join(left: DataFrame, right: DataFrame | None, threshold: float, prun
         a = b = prefixes(left, stats, (np.zeros_like(stats[0]), stats[1]), threshold)
     else:
         right = right.select(cols).where("id is not null and terms is not null")
-        if prune:
+        if not ready:
             left = cut(within(left, vocabulary_table(right), threshold))
             right = cut(within(right, vocabulary_table(left), threshold))
-        else:
-            left, right = cut(left), cut(right)
-        stats, stats_r = term_stats(left), term_stats(right)
+        stats, stats_r = _shared_slots(term_stats(left), term_stats(right))
         a, b = prefixes(left, stats, stats_r, threshold), prefixes(right, stats_r, stats, threshold)
     x = a.select(F.col("id").alias("id_a"), "term", F.col("w").alias("wa"), F.col("r").alias("ra"))
     y = b.select(F.col("id").alias("id_b"), "term", F.col("w").alias("wb"), F.col("r").alias("rb"))

@@ -60,14 +60,17 @@ def split_classes(rows: DataFrame, likeness: float) -> tuple[DataFrame, DataFram
     classes included, and the members ``(cid, id, split)`` of all classes in a pair."""
     bound = cosine_for(likeness)
     rows = rows.where(F.col("id").isNotNull() & F.col("text").isNotNull() & F.col("split").isin(TRAIN, *HELD_OUT))
-    held = run_sets(rows.where(F.col("split") != TRAIN), "text")
+    sets = lambda d: run_sets(d, "text")
+    classes = lambda d: cut(d.select(F.col("cid").alias("id"), "terms").dropDuplicates(["id"]))
     # The held-out vocabulary prunes the training rows, what is left of these prunes the held-out rows: both
-    # before any shuffle of texts or sets.
-    train = cut(within(run_sets(rows.where(F.col("split") == TRAIN), "text"), vocabulary_table(held), bound))
-    held = cut(within(held, vocabulary_table(train), bound))
-    members = train.drop("terms").unionByName(held.drop("terms")).distinct()
-    classes = lambda d: d.select(F.col("cid").alias("id"), "terms").dropDuplicates(["id"])
-    met = cosine_join(classes(train), classes(held), bound, prune=False)
+    # before any shuffle of texts or sets. Sets are written once, as classes; members are made in a pass of their own, without sets.
+    held = sets(rows.where(F.col("split") != TRAIN))
+    train = within(sets(rows.where(F.col("split") == TRAIN)), vocabulary_table(held), bound)
+    train_classes = classes(train)
+    held = within(held, vocabulary_table(train_classes), bound)
+    held_classes = classes(held)
+    members = cut(train.drop("terms").unionByName(held.drop("terms")).distinct())
+    met = cosine_join(train_classes, held_classes, bound, ready=True)
     j = F.col("shared") / (F.col("size_a") + F.col("size_b") - F.col("shared"))
     pairs = met.select(F.col("id_a").alias("train_cid"), F.col("id_b").alias("held_cid"), j.alias("likeness")).where(F.col("likeness") >= likeness)
     return cut(pairs), members
@@ -87,7 +90,6 @@ def overlap_rows(rows: DataFrame, likeness: float = 0.7) -> DataFrame:
     side, ``same`` those with an equal run set, ``best`` is the greatest likeness. Counts are summed over classes, so
     groups of copies are not expanded."""
     pairs, members = split_classes(rows, likeness)
-    members = cut(members)
     size = members.groupBy("cid").agg(F.count_if(F.col("split") == TRAIN).alias("n_train"), F.count_if(F.col("split") != TRAIN).alias("n_held"))
     to_train = pairs.join(size.select(F.col("cid").alias("train_cid"), F.col("n_train").alias("n")), "train_cid").select(F.col("held_cid").alias("cid"), F.lit(False).alias("train"), "n", "likeness")
     to_held = pairs.join(size.select(F.col("cid").alias("held_cid"), F.col("n_held").alias("n")), "held_cid").select(F.col("train_cid").alias("cid"), F.lit(True).alias("train"), "n", "likeness")

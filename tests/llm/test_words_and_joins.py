@@ -167,3 +167,29 @@ def test_split_overlaps_against_brute_force(spark):
     c = {(r.source_kind, r.split): r for r in overlap.overlap_counts(df, details, 0.7).collect()}
     assert c["anchor", "train"].rows == len({a for a, _ in tr if a in n}) == c["donor", "train"].rows
     assert overlap.split_overlaps(df.where("false"), 0.7).count() == 0
+
+
+def test_tables_merge_as_trees_and_grow(spark, monkeypatch):
+    """No group holds more pages than the fan-in, however many tasks there are; a filled table is made anew."""
+    rows = [(i, [int(x) for x in np.random.default_rng(i).integers(-(2**62), 2**62, 60)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, terms array<bigint>").repartition(150).cache()
+    want, stats = cosine_join.vocabulary_table(df, 20), cosine_join.term_stats(df, 16)
+    seen, merged = [], cosine_join.merged
+    groups = spark.sparkContext.accumulator(0)
+
+    def watched(pages, both):
+        def counted(t):
+            groups.add(int(t.num_rows > cosine_join.FAN_IN))
+            return both(t)
+
+        seen.append(1)
+        return merged(pages, counted)
+
+    monkeypatch.setattr(cosine_join, "merged", watched)
+    assert cosine_join.vocabulary_table(df, 20) == want and np.array_equal(cosine_join.term_stats(df, 16)[0], stats[0]) and groups.value == 0
+    assert stats[0].sum() == 400 * 60 and sum(map(int.bit_count, want)) <= 400 * 60
+    monkeypatch.setattr(cosine_join, "TABLE_MOST", 20)
+    monkeypatch.setattr(cosine_join, "STAT_MOST", 16)
+    assert cosine_join.table_bits(cosine_join.vocabulary_table(df, 14)) > 14 and len(cosine_join.term_stats(df, 14)[0]) > 1 << 14
+    a, b = cosine_join._shared_slots(stats, cosine_join.term_stats(df, 15))
+    assert np.array_equal(a[0], b[0]) and np.array_equal(a[1], b[1])
