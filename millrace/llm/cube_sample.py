@@ -3,9 +3,10 @@
 Each row of a category gets the inclusion probability wanted / available, so that the sums of probabilities over a
 category's indicator are the wanted counts. A flight phase moves along null vectors of the category indicators (two
 unresolved rows of one category trade probability until one is in or out), which keeps every category's sum exact. It runs
-on each partition; at most one row per category stays unresolved there. These few rows merge upward, ``FAN_IN`` partitions
-at a time, with a flight phase each, until one group is left; landing then rounds what remains at random. No partition sends
-more than one row per category upward.
+on each part of the rows, parted by a hash of the id; at most one row per category stays unresolved there. These few rows merge
+upward, ``FAN_IN`` parts at a time, with a flight phase each, until one group is left; landing then rounds what remains at random. No
+part sends more than one row per category upward. Parts, the order in a part and each row's random numbers follow from hashes of its id, so the sample
+doesn't depend on the partitions of the session.
 
 Categories, groups and ids with nulls are left out; repeated rows count once. Targets that name no rows are reported with
 0 drawn; a category without a target is not sampled. Shares are of ``sample_rows`` of the group, not of what was drawn.
@@ -23,13 +24,15 @@ from pyspark.sql import functions as F
 from millrace.session import cut
 
 FAN_IN = 16
+#: Rows per part, about; their number is a power of the fan-in.
+PART = 50_000
 _TINY = 1e-9
 
 
-def fly(pi: np.ndarray, category: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Flight phase: probabilities after it, all 0 or 1 but for at most one row per category; sums per category are kept."""
+def fly(pi: np.ndarray, category: np.ndarray, draws: np.ndarray) -> np.ndarray:
+    """Flight phase: probabilities after it, all 0 or 1 but for at most one row per category; sums per category are kept.
+    ``draws`` has a random number in [0, 1) per row."""
     out = pi.astype(float).copy()
-    draws = rng.random(len(out))
     waiting: dict[int, int] = {}
     for i, c in enumerate(category.tolist()):
         p = out[i]
@@ -55,28 +58,47 @@ def fly(pi: np.ndarray, category: np.ndarray, rng: np.random.Generator) -> np.nd
     return out
 
 
-def _flight(seed: int, land: bool = False):
-    def run(t: pa.Table) -> pa.Table:
-        t = t.sort_by("id")
-        cat = t.column("category").combine_chunks()
-        code = cat.dictionary_encode().indices.to_numpy() if t.num_rows else np.empty(0, np.int64)
-        pi = t.column("pi").to_numpy()
-        level = t.column("level")[0].as_py() if t.num_rows else 0
-        rng = np.random.default_rng([seed, level, int(abs(hash_of(t.column("id")[0].as_py()))) if t.num_rows else 0])
-        new = fly(pi, code, rng)
-        if land:
-            open_ = (new > 0) & (new < 1)
-            new[open_] = rng.random(int(open_.sum())) < new[open_]
-        at = t.schema.get_field_index("pi")
-        return t.set_column(at, t.schema.field(at), pa.array(new)).filter(pa.array(new > 0))
-
-    return run
-
-
-def hash_of(x) -> int:
-    import xxhash
-
-    return xxhash.xxh3_64_intdigest(str(x).encode("utf-8", "surrogatepass"))
+def _flight(t: pa.Table, land: bool = False) -> pa.Table:
+    """Rows of one part in order after a flight, without those that are out."""
+    code = t.column("category").combine_chunks().dictionary_encode().indices.to_numpy() if t.num_rows else np.empty(0, np.int64)
+    new = fly(t.column("pi").to_numpy(), code, t.column("u").to_numpy())
+    if land:
+        open_ = (new > 0) & (new < 1)
+        new[open_] = t.column("v").to_numpy()[open_] < new[open_]
+    at = t.schema.get_field_index("pi")
+    return t.set_column(at, t.schema.field(at), pa.array(new)).filter(pa.array(new > 0))
+
+
+def _landing(land: bool):
+    return lambda t: _flight(t.sort_by([("u", "ascending"), ("id", "ascending")]), land)
+
+
+def _random(seed: int, tag: str):
+    """A number in [0, 1) from a hash of the id."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(f"{seed}|{tag}"), F.col("id").cast("string")), 11) / float(1 << 53)
+
+
+def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Flights over parts that follow each other, batch by batch; what a batch leaves open in a part joins the next one."""
+    open_ = None
+    for whole in batches:
+        at = 0
+        parts = whole.column("bucket").to_numpy()
+        ends = [*(np.flatnonzero(parts[1:] != parts[:-1]) + 1).tolist(), whole.num_rows] if whole.num_rows else []
+        for end in ends:
+            t = pa.Table.from_batches([whole.slice(at, end - at)])
+            at = end
+            if open_ is not None and open_.num_rows:
+                if open_.column("bucket")[0].as_py() == t.column("bucket")[0].as_py():
+                    t = pa.concat_tables([open_, t])
+                else:
+                    yield from open_.to_batches()
+            t = _flight(t)
+            p = t.column("pi").to_numpy()
+            open_ = t.filter(pa.array(p < 1))
+            yield from t.filter(pa.array(p >= 1)).to_batches()
+    if open_ is not None:
+        yield from open_.to_batches()
 
 
 def draw(rows: DataFrame, targets: DataFrame, seed: int = 7) -> tuple[DataFrame, DataFrame]:
@@ -94,30 +116,20 @@ def draw(rows: DataFrame, targets: DataFrame, seed: int = 7) -> tuple[DataFrame,
     small = want.count() <= 100_000
     probs = want.where("available > 0 and wanted > 0").select(*keys, pi.alias("pi"))
     state = rows.join(F.broadcast(probs) if small else probs, keys)
-    state = state.select("id", *keys, "pi", F.concat_ws("\u0001", *keys).alias("category"), F.spark_partition_id().cast("bigint").alias("bucket"), F.lit(0).alias("level"))
+    parts = FAN_IN
+    while parts * PART < rows.count():
+        parts *= FAN_IN
+    bucket = F.pmod(F.xxhash64(F.lit(f"{seed}|part"), F.col("id").cast("string")), F.lit(parts))
+    state = state.select("id", *keys, "pi", F.concat_ws("\u0001", *keys).alias("category"), bucket.alias("bucket"), _random(seed, "0").alias("u"), _random(seed, "land").alias("v"))
     schema = state.schema
-    run = _flight(seed)
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Batch after batch of the partition; what a batch leaves open joins the next one.
-        open_ = None
-        for b in batches:
-            t = pa.Table.from_batches([b])
-            t = run(pa.concat_tables([open_, t]) if open_ is not None else t)
-            p = t.column("pi").to_numpy()
-            open_ = t.filter(pa.array(p < 1))
-            yield from t.filter(pa.array(p >= 1)).to_batches()
-        if open_ is not None:
-            yield from open_.to_batches()
-
-    state = cut(state.mapInArrow(first, schema))
+    state = cut(state.repartition("bucket").sortWithinPartitions("bucket", "u", "id").mapInArrow(_in_order, schema))
     done = state.where("pi >= 1")
     left = state.where("pi < 1")
     level = 1
-    while (top := left.agg(F.max("bucket")).first()[0]) is not None:
-        last = top < FAN_IN
-        up = left.withColumn("bucket", F.floor(F.col("bucket") / FAN_IN)).withColumn("level", F.lit(level))
-        up = cut(up.groupBy("stage", "split", "bucket").applyInArrow(_flight(seed, land=last), schema))
+    while parts > 1:
+        parts //= FAN_IN
+        up = left.withColumn("bucket", F.floor(F.col("bucket") / FAN_IN)).withColumn("u", _random(seed, str(level)))
+        up = cut(up.groupBy("stage", "split", "bucket").applyInArrow(_landing(parts == 1), schema))
         done, left = done.unionByName(up.where("pi >= 1")), up.where("pi < 1")
         level += 1
     sample = cut(done.select("id", *keys))

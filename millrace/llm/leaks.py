@@ -48,20 +48,60 @@ def fingerprints(df: DataFrame) -> DataFrame:
     return rows.select("id", F.explode("fp").alias("fp"))
 
 
+class Passages:
+    """Suffix automaton over the words of a text: finds the longest run that another text shares with it in time linear in that
+    text, however often both repeat themselves."""
+
+    def __init__(self, text: list[str]):
+        self.next: list[dict[str, int]] = [{}]
+        self.link, self.size, self.end = [-1], [0], [0]
+        last = 0
+        for i, word in enumerate(text):
+            now = self._state(dict(), self.size[last] + 1, i + 1)
+            p = last
+            while p >= 0 and word not in self.next[p]:
+                self.next[p][word] = now
+                p = self.link[p]
+            if p >= 0:
+                q = self.next[p][word]
+                if self.size[q] != self.size[p] + 1:
+                    twin = self._state(dict(self.next[q]), self.size[p] + 1, self.end[q])
+                    self.link[twin], self.link[q] = self.link[q], twin
+                    while p >= 0 and self.next[p].get(word) == q:
+                        self.next[p][word] = twin
+                        p = self.link[p]
+                    q = twin
+                self.link[now] = q
+            else:
+                self.link[now] = 0
+            last = now
+
+    def _state(self, then: dict[str, int], size: int, end: int) -> int:
+        self.next.append(then)
+        self.link.append(-1)
+        self.size.append(size)
+        self.end.append(end)
+        return len(self.next) - 1
+
+    def longest(self, other: list[str], span: int = SPAN) -> tuple[int, int, int]:
+        """Length of the longest shared run of at least ``span`` words and its first places in the text and in the other; 0 if none."""
+        best, state, n = (0, 0, 0), 0, 0
+        following, link, size = self.next, self.link, self.size
+        for j, word in enumerate(other):
+            while state and word not in following[state]:
+                state = link[state]
+                n = size[state]
+            to = following[state].get(word)
+            if to is not None:
+                state, n = to, n + 1
+                if n >= span and n > best[0]:
+                    best = (n, self.end[state] - n, j + 1 - n)
+        return best
+
+
 def longest_shared(a: list[str], b: list[str], span: int = SPAN) -> tuple[int, int, int]:
     """Length in words of the longest common run of at least ``span`` words, and its places in ``a`` and ``b``; 0 if none."""
-    at: dict[tuple[str, ...], list[int]] = {}
-    for i in range(len(a) - span + 1):
-        at.setdefault(tuple(a[i : i + span]), []).append(i)
-    best, ends = (0, 0, 0), {}
-    for j in range(len(b) - span + 1):
-        now = {}
-        for i in at.get(tuple(b[j : j + span]), ()):
-            n = now[i] = ends.get(i - 1, span - 1) + 1
-            if n > best[0]:
-                best = (n, i + span - n, j + span - n)
-        ends = now
-    return best
+    return Passages(a).longest(b, span)
 
 
 def leaked_passages(items: DataFrame, corpus: DataFrame) -> DataFrame:
@@ -80,17 +120,15 @@ def leaked_passages(items: DataFrame, corpus: DataFrame) -> DataFrame:
     kinds = {c: pairs.schema[c].dataType.simpleString() for c in ("item_id", "id")}
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[str]] = {}
-
-        def split(text: str) -> list[str]:
-            if text not in known:
-                if len(known) > 2000:
-                    known.clear()
-                known[text] = w.words(text)
-            return known[text]
-
+        known: dict[str, Passages] = {}
         for b in batches:
-            rows = [longest_shared(split(x), split(y)) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            rows = []
+            for item, text in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+                if item not in known:
+                    if len(known) > 500:
+                        known.clear()
+                    known[item] = Passages(w.words(item))
+                rows.append(known[item].longest(w.words(text)))
             keep = pa.array([n > 0 for n, _, _ in rows])
             cols = [b.column(0), b.column(1), *(pa.array([r[k] for r in rows], pa.int32()) for k in range(3))]
             yield pa.RecordBatch.from_arrays(cols, ["item_id", "id", "words", "item_start", "start"]).filter(keep)

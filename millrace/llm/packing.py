@@ -4,8 +4,8 @@ A text longer than the capacity is split into full pieces, which fill windows of
 stays whole. Items are dealt by hash to partitions of about ``ITEMS`` items, each packed by best-fit decreasing. Lower
 bounds from dual feasible functions certify a partition whose number of windows reaches its bound. Partitions with a gap
 exchange the items of their windows that aren't full: these are dealt anew among such partitions and packed again, and the
-new packing is kept if it takes fewer windows in total. This ends when all partitions are certified, the bound over
-all items is reached, or a round gains nothing.
+new packing is kept if it takes fewer windows in total, else another deal is tried. This ends when all partitions are certified, the
+bound over all items is reached, or after ``ROUNDS`` deals; the report has the gap that is left. No item depends on it.
 
 Items of size 0 and null sizes get no window (``window_id`` null, position 0). Negative sizes are an error.
 """
@@ -117,8 +117,8 @@ def fill_windows(sizes: DataFrame, capacity: int, items_per_part: int = ITEMS, r
         again = cut(_pack(_deal(placed.where(loose), seed, gaps), capacity))
         before = placed.where(loose).select("part", "win").distinct().count()
         now, left = total(again)
-        if now >= before:
-            break
+        if now >= before:  # this deal gains nothing, another one may
+            continue
         kept = placed.where(~loose)
         # What stays is closed: its windows are full, or its partition is certified.
         placed = cut(kept.withColumn("need", F.col("wins")).unionByName(again))
@@ -133,5 +133,5 @@ def fill_windows(sizes: DataFrame, capacity: int, items_per_part: int = ITEMS, r
     start = (F.col("piece").cast("bigint") * capacity).alias("start")
     whole = full.count()
     tokens = sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    report = {"capacity_tokens": capacity, "windows": used + whole, "lower_bound": bound + whole, "tokens": tokens, "certified": used <= bound}
+    report = {"capacity_tokens": capacity, "windows": used + whole, "lower_bound": bound + whole, "tokens": tokens, "certified": used <= bound, "gap": used - bound}
     return out.select(F.col("id").cast(kind), "piece", start, "size", "window_id", "position", "window_start"), report

@@ -40,6 +40,12 @@ def p1_groups(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates.near_groups(_skill_texts(spark, d), 0.8, run=5).withColumnRenamed("id", "skill_id")
 
 
+@query
+def p1_classes(spark: SparkSession, d: str) -> DataFrame:
+    """The setting of p1_found without pairs of copies: one row per skill and class with its number of links."""
+    return near_duplicates.near_groups(_skill_texts(spark, d), 0.6).withColumnRenamed("id", "skill_id")
+
+
 def _files(spark: SparkSession, d: str) -> DataFrame:
     return credentials.files(load(spark, d, "normalized_skill_records"))
 
@@ -169,8 +175,8 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
     for r in load(spark, d, "context_windows").orderBy("capacity_tokens").collect():
         report = packing.fill_windows(sizes, r["capacity_tokens"])[1]
         full = max(1, report["windows"]) * r["capacity_tokens"]
-        out.append((r["window_name"], r["capacity_tokens"], report["tokens"], report["windows"], report["lower_bound"], report["certified"], report["tokens"] / full))
-    return spark.createDataFrame(out, "window_name string, capacity_tokens bigint, tokens bigint, windows bigint, lower_bound bigint, certified boolean, fill double")
+        out.append((r["window_name"], r["capacity_tokens"], report["tokens"], report["windows"], report["lower_bound"], report["certified"], report["gap"], report["tokens"] / full))
+    return spark.createDataFrame(out, "window_name string, capacity_tokens bigint, tokens bigint, windows bigint, lower_bound bigint, certified boolean, gap bigint, fill double")
 
 
 @query

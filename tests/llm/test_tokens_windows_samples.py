@@ -103,11 +103,11 @@ def test_exchange_never_takes_more_windows(spark):
 def test_flight_keeps_sums():
     g = np.random.default_rng(1)
     pi, cat = g.random(500), g.integers(0, 6, 500)
-    out = cube_sample.fly(pi, cat, np.random.default_rng(2))
+    out = cube_sample.fly(pi, cat, np.random.default_rng(2).random(500))
     for c in range(6):
         assert abs(out[cat == c].sum() - pi[cat == c].sum()) < 1e-6
         assert ((out[cat == c] > 0) & (out[cat == c] < 1)).sum() <= 1
-    mean = np.mean([cube_sample.fly(np.full(10, 0.3), np.zeros(10, int), np.random.default_rng(k))[0] for k in range(3000)])
+    mean = np.mean([cube_sample.fly(np.full(10, 0.3), np.zeros(10, int), np.random.default_rng(k).random(10))[0] for k in range(3000)])
     assert abs(mean - 0.3) < 0.05  # probabilities are kept
 
 
@@ -128,3 +128,22 @@ def test_sample_meets_targets(spark):
     assert empty.count() == 0 and all(x.drawn == 0 for x in rep.collect())
 
 
+
+
+def test_sample_does_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(cube_sample, "PART", 100)  # two levels
+    rows = [(f"r{i}", "s", "train" if i % 3 else "val", "abc"[i % 7 % 3]) for i in range(3000)]
+    want = [("s", s, x, share, 5, 200) for s in ("train", "val") for x, share in zip("abc", (0.5, 0.35, 0.15))]
+    targets = spark.createDataFrame(want, "stage string, split string, label string, target_share double, min_rows bigint, sample_rows bigint")
+    seen, old = [], spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n, batch in ((4, 10_000), (13, 37)):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            df = spark.createDataFrame(rows, "id string, stage string, split string, label string").repartition(n + 2)
+            seen.append({r.id for r in cube_sample.draw(df, targets)[0].collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert seen[0] == seen[1] and len(seen[0]) == 400
+    assert {r.id for r in cube_sample.draw(df, targets, seed=8)[0].collect()} != seen[0]

@@ -193,3 +193,18 @@ def test_tables_merge_as_trees_and_grow(spark, monkeypatch):
     assert cosine_join.table_bits(cosine_join.vocabulary_table(df, 14)) > 14 and len(cosine_join.term_stats(df, 14)[0]) > 1 << 14
     a, b = cosine_join._shared_slots(stats, cosine_join.term_stats(df, 15))
     assert np.array_equal(a[0], b[0]) and np.array_equal(a[1], b[1])
+
+
+def test_longest_shared_is_linear_and_right():
+    import time
+
+    def slow(a, b, span):
+        return max(((n, -i, -j) for i in range(len(a)) for j in range(len(b)) for n in [next((k for k in range(min(len(a) - i, len(b) - j)) if a[i + k] != b[j + k]), min(len(a) - i, len(b) - j))] if n >= span), default=(0, 0, 0))[0]
+
+    for _ in range(200):
+        a, b = ([RNG.choice("xyz") for _ in range(RNG.randint(0, 25))] for _ in range(2))
+        n, i, j = leaks.longest_shared(a, b, 3)
+        assert n == slow(a, b, 3) and a[i : i + n] == b[j : j + n]
+    began = time.perf_counter()
+    assert leaks.longest_shared(["a"] * 20_000, ["a"] * 20_000)[0] == 20_000 and leaks.longest_shared(["a", "b"] * 10_000, ["b", "a", "c"] * 7_000)[0] == 0
+    assert time.perf_counter() - began < 5
