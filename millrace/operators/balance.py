@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,13 +30,45 @@ def targets(rows: DataFrame, view: str, cap: int = 0) -> DataFrame:
     return n.groupBy(*_GROUP).agg((F.lit(cap).cast("bigint") if cap > 0 else F.min("n")).alias("target"))
 
 
-def balanced(rows: DataFrame, view: str, seed: int = 42, cap: int = 0, key: str = "sample_id") -> DataFrame:
-    """At most ``target`` rows of each label per stage and split, the first by a hash of seed, label and key; never more rows
-    than there are. Positions are dense without gathering a label in one task."""
+def balanced(rows: DataFrame, view: str, seed: int = 42, cap: int = 0, key: str = "sample_id", order: str = "hash") -> DataFrame:
+    """At most ``target`` rows of each label per stage and split; never more rows than there are.
+
+    With ``order`` "hash", the first by a hash of seed, label and key. Only these are ranked, without texts, and without gathering a label
+    in one task; the rank gives one limit per label, and rows up to it are kept where they are. Keys should be unique in a label: rows
+    with equal keys are kept or left out together, and null keys count as empty.
+
+    With ``order`` "mt", those that Python's generator draws (seed ``{seed}|{label}|{file}``) from the rows of a label in their order by
+    key, for parity; the generator shuffles all places of a label, so it runs on the driver and is refused beyond ``DRAWN`` of them."""
     own = _labelled(rows, view)
-    ranked = dense_positions(own.withColumn("_h", F.sha1(F.concat_ws("|", F.lit(str(seed)), "balanced_label", key))), [*_GROUP, "balanced_label"], [F.col("_h"), F.col(key)])
     t = targets(rows, view, cap)  # one row per stage and split
-    return ranked.join(F.broadcast(t), _GROUP).where(F.col("pos") < F.col("target")).drop("_h", "pos", "target")
+    keys = [*_GROUP, "balanced_label"]
+    h = F.sha1(F.concat_ws("|", F.lit(str(seed)), "balanced_label", key))
+    k = F.coalesce(F.col(key), F.lit(""))
+    if order == "mt":
+        ranked = dense_positions(own, keys, [k])
+        return ranked.join(F.broadcast(_drawn(own, t, seed)), [*keys, "pos"], "left_semi").select(own.columns)
+    ranked = dense_positions(own.select(*keys, h.alias("_h"), k.alias("_k")), keys, [F.col("_h"), F.col("_k")])
+    last = ranked.join(F.broadcast(t), _GROUP).where(F.col("pos") < F.col("target")).groupBy(*keys).agg(F.max(F.struct("_h", "_k")).alias("_last"))
+    return own.join(F.broadcast(last), keys).where(F.struct(h.alias("_h"), k.alias("_k")) <= F.col("_last")).select(own.columns)
+
+
+#: Rows of the labels to draw from up to which the parity order is made on the driver.
+DRAWN = 5_000_000
+
+
+def _drawn(own: DataFrame, t: DataFrame, seed: int) -> DataFrame:
+    """``(stage, split, balanced_label, pos)`` that Python's generator draws; labels with no more rows than the target keep all."""
+    n = own.groupBy(*_GROUP, "balanced_label").agg(F.count(F.lit(1)).alias("n")).join(t, _GROUP).collect()  # a row per label
+    if sum(r["n"] for r in n) > DRAWN:
+        raise ValueError(f"more than {DRAWN} rows to shuffle with the parity generator; use the hash order")
+    out = []
+    for r in n:
+        places = list(range(r["n"]))
+        if r["n"] > r["target"]:
+            file = f"{r['split']}.parquet" if r["balanced_label"] == "positive" else f"{r['split']}_{r['balanced_label']}.parquet"
+            random.Random(f"{seed}|{r['balanced_label']}|{file}").shuffle(places)
+        out += [(r["stage"], r["split"], r["balanced_label"], i) for i in places[: r["target"]]]
+    return own.sparkSession.createDataFrame(out, "stage string, split string, balanced_label string, pos bigint")
 
 
 def top_by_hash(rows: DataFrame, n: int, tag: str, key: str) -> DataFrame:

@@ -125,27 +125,39 @@ def donor_requests(samples: DataFrame, c: Config = Config()) -> DataFrame:
     return _requests(samples, {s: [(p, 2 if "C" in m.values() else 1, c.k_donors) for p, m in t.items()] for s, t in T2.items()})
 
 
-def _with_layers(picked: DataFrame, samples: DataFrame, which: int) -> DataFrame:
-    """Joins the sections of the donor number ``which`` (its id may be null)."""
-    d = samples.select(F.col("skill_id").alias("_id"), F.col("stage").alias("_st"), F.struct(*FIELD.values()).alias(f"d{which}"))
-    return picked.join(d, (F.get("donors", F.lit(which)) == F.col("_id")) & (F.col("stage") == F.col("_st")), "left").drop("_id", "_st")
+def _layers(samples: DataFrame, inside: bool = False) -> DataFrame:
+    """``(_id, _st, layer, layer_text)``: each layer of each sample, once; ``inside`` takes off its tags."""
+    one = lambda x: F.struct(F.lit(x).alias("layer"), (inner(F.col(FIELD[x]), x) if inside else F.col(FIELD[x])).alias("layer_text"))
+    return samples.select(F.col("skill_id").alias("_id"), F.col("stage").alias("_st"), F.explode(F.array(*map(one, "IR" if inside else "MIR"))).alias("x")).select("_id", "_st", "x.*")
 
 
-def swapped(samples: DataFrame, c: Config = Config(), pools: DataFrame | None = None) -> DataFrame:
-    """T2: layers from one or two donors, ``k_donors`` times per pattern."""
-    picked = donors(donor_requests(samples, c), pools if pools is not None else donor_pools(samples), c.seed)
-    rows = _with_layers(_with_layers(picked, samples, 0), samples, 1).join(samples.select("skill_id", "stage", "split", *FIELD.values()), ["skill_id", "stage"])
+def _kept(rows: DataFrame, label: str, stage: str, sub: Column, target: Column, sources: Column, text: Column, c: Config) -> DataFrame:
+    """Variant rows within the budget. The text is made once, behind a generator: a filter above it would be pushed below and
+    make it again."""
+    limit = F.when(F.col(stage) == "stage1", c.limit("stage1")).otherwise(c.limit("stage2"))
+    fits = F.filter(F.array(text), lambda t: (t != "") & (tokens(t) <= limit))
+    rows = rows.select("skill_id", "stage", "pool", "split", sub.alias("sub"), target.alias("target"), sources.alias("sources"), F.explode(fits).alias("text"))
+    return rows.select(*row(label, F.col("sub"), F.col("target"), F.col("sources"), F.col("text")))
 
-    def text(stage: str, m: dict[str, str]) -> Column:
-        return join_parts(*(F.col(f"d{'BC'.index(m[x])}.{FIELD[x]}") if x in m else F.col(FIELD[x]) for x in LAYERS[stage]))
 
-    whole, target = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for s, t in T2.items():
-        for p, m in t.items():
-            at = (F.col("stage") == s) & (F.col("pattern") == p)
-            whole, target = F.when(at, text(s, m)).otherwise(whole), F.when(at, "+".join(sorted(m))).otherwise(target)
-    rows = rows.withColumns({"text": whole, "target": target, "sub": F.concat(F.col("pattern"), F.lit("|k="), F.col("k").cast("string"), F.lit("|donors="), F.array_join("donors", ","))})
-    return rows.select(*row("T2", F.col("sub"), F.col("target"), F.concat(F.array("skill_id"), F.col("donors")), F.col("text"))).where(_fits(c))
+def swapped(samples: DataFrame, c: Config = Config(), pools: DataFrame | None = None) -> DataFrame:
+    """T2: layers from one or two donors, ``k_donors`` times per pattern.
+
+    Requests hold ids alone. Each layer that a request needs is fetched by its donor's id and sent to the request's sample once;
+    the sample's own layers stay where they are."""
+    picked = donors(donor_requests(samples, c), pools if pools is not None else donor_pools(samples), c.seed)
+    needs = F.create_map(*(v for p, m in {**T2["stage1"], **T2["stage2"]}.items() for v in (F.lit(p), F.array(*(F.struct(F.lit(x).alias("layer"), F.lit("BC".index(d)).alias("slot")) for x, d in m.items())))))
+    asked = picked.select("skill_id", "stage", "pool", "pattern", "k", "donors", F.explode(F.element_at(needs, F.col("pattern"))).alias("x"))
+    asked = asked.select("skill_id", "stage", "pool", "pattern", "k", "donors", "x.layer", F.get("donors", F.col("x.slot")).alias("_id"), F.col("stage").alias("_st"))
+    pieces = asked.join(_layers(samples), ["_id", "_st", "layer"]).repartition("skill_id", "stage")
+    key = ["skill_id", "stage", "pool", "pattern", "k"]
+    # At most three pieces a request; grouping and the join below need no other shuffle than the one above.
+    made = pieces.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("layer", "layer_text"))).alias("new"), F.first("donors").alias("donors"))
+    rows = made.join(samples.select("skill_id", "stage", "split", *FIELD.values()), ["skill_id", "stage"])
+    part = lambda x: F.coalesce(F.element_at("new", F.lit(x)), F.col(FIELD[x]))
+    text = F.when(F.col("stage") == "stage1", join_parts(*map(part, LAYERS["stage1"]))).otherwise(join_parts(*map(part, LAYERS["stage2"])))
+    sub = F.concat(F.col("pattern"), F.lit("|k="), F.col("k").cast("string"), F.lit("|donors="), F.array_join("donors", ","))
+    return _kept(rows, "T2", "stage", sub, F.array_join(F.array_sort(F.map_keys("new")), "+"), F.concat(F.array("skill_id"), F.col("donors")), text, c)
 
 
 def _mersenne(df: DataFrame, seed: int) -> DataFrame:
@@ -173,10 +185,12 @@ def spliced(samples: DataFrame, c: Config = Config(), pools: DataFrame | None =
     """T3b: a span of a layer replaced by an equally long span of a donor's same layer. Layers too short give nothing.
     ``rng`` is "hash" (places by digest) or "mt" (places by Python's generator)."""
     asked = _requests(samples, {s: [(f"t3b_{x}", 1, c.k_span_donors) for x in v] for s, v in T3B.items()})
-    picked = donors(asked, pools if pools is not None else donor_pools(samples), c.seed).withColumn("layer", F.substring("pattern", 5, 1))
-    rows = _with_layers(picked, samples, 0).join(samples.select("skill_id", "stage", "split", *FIELD.values()), ["skill_id", "stage"])
-    pick = lambda f: F.when(F.col("layer") == "I", inner(F.col(f("instruction_text")), "I")).otherwise(inner(F.col(f("resource_text")), "R"))
-    rows = rows.withColumns({"own": pick(lambda x: x), "other": pick(lambda x: f"d0.{x}"), "donor": F.get("donors", F.lit(0))})
+    picked = donors(asked, pools if pools is not None else donor_pools(samples), c.seed)
+    picked = picked.select("skill_id", "stage", "pool", "k", F.substring("pattern", 5, 1).alias("layer"), F.get("donors", F.lit(0)).alias("_id"), F.col("stage").alias("_st"))
+    given = picked.join(_layers(samples, inside=True), ["_id", "_st", "layer"]).select("skill_id", "stage", "pool", "k", "layer", F.col("_id").alias("donor"), F.col("layer_text").alias("other"))
+    rows = given.join(samples.select("skill_id", "stage", "split", *FIELD.values()), ["skill_id", "stage"])
+    own = F.when(F.col("layer") == "I", inner(F.col("instruction_text"), "I")).otherwise(inner(F.col("resource_text"), "R"))
+    rows = rows.select("*", F.explode(F.array(own)).alias("own"))  # a generator, so that it is computed once
     rows = rows.withColumns({"na": F.length("own"), "nd": F.length("other")})
     n = F.least(F.greatest(F.lit(c.span_min), F.floor(F.col("na") * F.lit(c.span_fraction)).cast("int")), F.lit(c.span_cap), F.col("na"), F.col("nd"))
     rows = rows.withColumn("len", n).where((F.col("len") >= c.span_min) & (F.col("len") > 0))
@@ -187,12 +201,10 @@ def spliced(samples: DataFrame, c: Config = Config(), pools: DataFrame | None =
         rows = rows.withColumns({"a": place("na", "a"), "d": place("nd", "d")})
     a, d = F.col("a").cast("int"), F.col("d").cast("int")
     new = F.concat(F.substring(F.col("own"), F.lit(1), a), F.substring(F.col("other"), d + 1, F.col("len")), F.substring(F.col("own"), a + F.col("len") + 1, F.col("na")))
-    part = lambda x: F.when(F.col("layer") == x, wrap(F.col("new"), x)).otherwise(F.col(FIELD[x]))
-    rows = rows.withColumn("new", new)
+    part = lambda x: F.when(F.col("layer") == x, wrap(new, x)).otherwise(F.col(FIELD[x]))
     text = F.when(F.col("stage") == "stage1", join_parts(F.col(FIELD["M"]), part("I"))).otherwise(join_parts(F.col(FIELD["M"]), part("I"), part("R")))
     sub = F.concat(F.lit("layer="), F.col("layer"), F.lit("|k="), F.col("k").cast("string"), F.lit("|donor="), F.col("donor"), F.lit(f"|frac={c.span_fraction}"))
-    rows = rows.withColumns({"text": text, "sub": sub})
-    return rows.select(*row("T3b", F.col("sub"), F.col("layer"), F.array("skill_id", "donor"), F.col("text"))).where(_fits(c))
+    return _kept(rows, "T3b", "stage", sub, F.col("layer"), F.array("skill_id", "donor"), text, c)
 
 
 def variants(samples: DataFrame, c: Config = Config()) -> DataFrame:
@@ -207,5 +219,3 @@ def label_counts(rows: DataFrame, by: tuple[str, ...] = ("stage", "split", "labe
 
 def pool_sizes(samples: DataFrame) -> DataFrame:
     return samples.groupBy("stage", "pool").agg(F.count(F.lit(1)).alias("rows"))
-
-

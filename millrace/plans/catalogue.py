@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import hashing, text
 from millrace.operators import balance, challenge, identifiers, normalize, samples, spans, stats, variants, verdicts
+from millrace.plans import identifier_sql as ids
 from millrace.plans import sql as q
 from millrace.session import cut, load, prepare
 from millrace.sources import readers
@@ -392,30 +393,33 @@ def _positives(spark: SparkSession, d: str) -> DataFrame:
     return variants.positive(phase1(spark, d))
 
 
-@query()
+@query(f"{ids.PLACES} select skill_id as anchor_skill_id, stage, layer, s as start, e as \"end\", repl, kind from hits")
 def t3c_hits(spark: SparkSession, d: str) -> DataFrame:
     rows = identifiers.layer_rows(_positives(spark, d).select("anchor_skill_id", "text", "stage"))
     h = rows.withColumn("h", identifiers.find_places(F.col("inner"))).select("anchor_skill_id", "stage", "layer", F.explode("h").alias("h"))
     return h.select("anchor_skill_id", "stage", "layer", "h.*")
 
 
-@query()
+@query(f"{ids.PLACES} select stage, layer, kind, count(*) as n_hits from hits group by all")
 def t3c_hit_kind_counts(spark: SparkSession, d: str) -> DataFrame:
     return t3c_hits(spark, d).groupBy("stage", "layer", "kind").agg(F.count(F.lit(1)).alias("n_hits"))
 
 
-@query()
+@query(f"{ids.SUBSTITUTED} {_row_sql('T3c', 'whole')}")
 def t3c_substitutions(spark: SparkSession, d: str) -> DataFrame:
     return _row(identifiers.substituted(_positives(spark, d)))
 
 
-_ENV = ", ".join(f"('{a}', '{b}')" for a, b in identifiers.VARIABLES.items())
+@query(f"{ids.DOCUMENTS} select repl as replacement, kind, count(*) as n from hits where kind = 'env_var' group by all")
+def curated_env_subs(spark: SparkSession, d: str) -> DataFrame:
+    t = load(spark, d, "documents").where("text is not null").select(F.explode(identifiers.find_places(F.col("text"))).alias("h"))
+    return t.where("h.kind = 'env_var'").groupBy(F.col("h.repl").alias("replacement"), "h.kind").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"with w as (select doc_id, unnest(regexp_extract_all(text, '[A-Z][A-Z0-9_]+')) w from documents where text is not null) select w.w as name, c.b as replacement, count(*) as n from w join (values {_ENV}) c(a, b) on c.a = w.w group by all")
-def curated_env_subs(spark: SparkSession, d: str) -> DataFrame:
-    t = load(spark, d, "documents").where("text is not null").select(F.explode(F.regexp_extract_all("text", F.lit("[A-Z][A-Z0-9_]+"), F.lit(0))).alias("name"))
-    return t.withColumn("replacement", F.element_at(identifiers._map(identifiers.VARIABLES), F.col("name"))).where("replacement is not null").groupBy("name", "replacement").agg(F.count(F.lit(1)).alias("n"))
+@query(f"{ids.DOCUMENTS} select kind, count(*) as n, count(distinct repl) as n_names, min(repl) as first_name from hits group by 1")
+def document_identifiers(spark: SparkSession, d: str) -> DataFrame:
+    t = load(spark, d, "documents").where("text is not null").select(F.explode(identifiers.find_places(F.col("text"))).alias("h"))
+    return t.groupBy("h.kind").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("h.repl").alias("n_names"), F.min("h.repl").alias("first_name"))
 
 
 @query(f"with n as (select distinct name from normalized_skill_records where name is not null) select name, name || ({identifiers.ENDINGS!r})[1 + cast('0x' || substr(sha1('pip_pin|' || name), 1, 2) as int) % 7] as fake from n")
