@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.hashing import hash_parts
-from millrace.functions.text import description_section, rstrip, strip
+from millrace.functions.text import clean, clip, description_section, rstrip, strip
 from millrace.session import BROADCAST_ROWS
 
 # Closed vocabularies of gold labels.
@@ -76,7 +76,7 @@ def skill_text(description: Column, body: Column, limit: int = SKILL_CHARS) -> C
 
 def eval_rows(reviewed: DataFrame, skills: DataFrame) -> DataFrame:
     """Evaluation rows of reviewed ids that have a record in ``skills`` (skill_id, description, body)."""
-    r = reviewed.select("skill_id", F.col("source"), gold(F.col("final_safe"), SAFE).alias("overall_class"), gold(F.col("final_align"), ALIGN).alias("alignment_class"))
+    r = reviewed.select("skill_id", source_of(F.col("source")).alias("source"), gold(F.col("final_safe"), SAFE).alias("overall_class"), gold(F.col("final_align"), ALIGN).alias("alignment_class"))
     j = r.join(skills.select("skill_id", "description", "body"), "skill_id")
     return j.select("skill_id", skill_text(F.col("description"), F.col("body")).alias("skill_text"), "overall_class", "alignment_class", "source", F.lit("test").alias("split"))
 
@@ -96,10 +96,44 @@ def prompt(name: Column, ev: Column, candidate: Column) -> Column:
     return F.concat(F.lit("Skill name: "), name, F.lit("\n\nEvidence:\n"), ev, F.lit("\n\nCandidate description:\n"), candidate, F.lit("\n\nDoes the candidate description match the skill? Answer yes or no."))
 
 
+def match_prompt(name: Column, ev: Column, candidate: Column, limit: int) -> Column:
+    """The older form of the prompt: struct ``(prompt, evidence)`` of cleaned texts, the evidence clipped."""
+    short = clip(clean(ev), limit)
+    return F.struct(strip(prompt(clean(name), short, clean(candidate))).alias("prompt"), short.alias("evidence"))
+
+
+#: Columns of the reviewed list that tell what scanners said.
+SCANS = ("static_rule_class", "llm_filter_class", "alignment_class", "behavioral_class", "overall_class", "bench_classification", "hsb_tier", "hsb_category")
+
+
+def with_labels(canonical: DataFrame, reviewed: DataFrame) -> DataFrame:
+    """Canonical records of reviewed ids with the structs ``gold`` and ``scan`` and their source in lower case."""
+    scans = F.struct(*(F.col(c) if c in reviewed.columns else F.lit(None).cast("string").alias(c) for c in SCANS))
+    golds = F.struct(gold(F.col("final_safe"), SAFE).alias("final_safe"), gold(F.col("final_align"), ALIGN).alias("final_align"))
+    return canonical.join(reviewed.select("skill_id", golds.alias("gold"), scans.alias("scan"), source_of(F.col("source")).alias("source")), "skill_id")
+
+
+def source_of(c: Column) -> Column:
+    """A source in lower case; without one it is unknown."""
+    low = F.lower(F.coalesce(c, F.lit("")))
+    return F.when(low == "", "unknown").otherwise(low)
+
+
+def first_rows(rows: DataFrame, n: int, order: list[Column]) -> DataFrame:
+    """The first ``n`` rows by an explicit order; 0 takes all."""
+    return rows.orderBy(*order).limit(n) if n > 0 else rows
+
+
+def skills_of(canonical: DataFrame) -> DataFrame:
+    """Canonical records as the evaluation and classifier rows take them."""
+    return canonical.select("skill_id", F.col("first_layer.name").alias("name"), F.col("first_layer.description").alias("description"), F.col("skill_md.description_section.content").alias("section"), F.col("skill_md.non_description").alias("body"), "package_files", *(["has_md"] if "has_md" in canonical.columns else []))
+
+
 def outcome(reviewed: DataFrame, skills: DataFrame) -> DataFrame:
     """Reviewed rows with ``reason``: the first that holds of no_label, missing_package, no_text; null for usable rows."""
     label = gold(F.col("final_align"), ALIGN)
-    s = skills.select("skill_id", F.lit(True).alias("_there"), (F.coalesce("body", F.lit("")) != "").alias("_text"))
+    text = F.col("has_md") if "has_md" in skills.columns else F.coalesce("body", F.lit("")) != ""
+    s = skills.select("skill_id", F.lit(True).alias("_there"), text.alias("_text"))
     j = reviewed.join(s, "skill_id", "left")
     why = F.when(label.isNull(), "no_label").when(F.col("_there").isNull(), "missing_package").when(~F.col("_text"), "no_text")
     return j.select(*reviewed.columns, label.alias("gold"), why.alias("reason"))
@@ -107,7 +141,7 @@ def outcome(reviewed: DataFrame, skills: DataFrame) -> DataFrame:
 
 def classifier_rows(reviewed: DataFrame, skills: DataFrame, instruction: str = "", normalized_version: str = "v1", output_version: str = "v1") -> DataFrame:
     """Classifier rows of usable reviewed rows; ``skills``: skill_id, name, description, section, body, package_files."""
-    ok = outcome(reviewed, skills).where("reason is null").select("skill_id", "source", "gold", gold(F.col("final_safe"), SAFE).alias("final_safe"))
+    ok = outcome(reviewed, skills).where("reason is null").select("skill_id", source_of(F.col("source")).alias("source"), "gold", gold(F.col("final_safe"), SAFE).alias("final_safe"))
     j = ok.join(skills, "skill_id")
     name = F.when(F.coalesce("name", F.lit("")) != "", F.col("name")).otherwise(F.col("skill_id"))
     cand = F.when(F.coalesce("description", F.lit("")) != "", F.col("description")).otherwise(F.coalesce("section", F.lit("")))

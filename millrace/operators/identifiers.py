@@ -33,10 +33,13 @@ VARIABLES = {
 # Endings of made-up names, and standard modules that are never touched.
 ENDINGS = ["-x", "-pro", "z", "-plus", "-ng", "-lite", "2"]
 STANDARD = (
-    "os sys re json math time datetime logging argparse pathlib hashlib random collections typing subprocess shutil io csv uuid tempfile functools itertools importlib warnings traceback string copy pickle base64 urllib asyncio "
-    "threading multiprocessing queue socket struct enum abc contextlib dataclasses ast inspect types operator weakref glob platform signal select errno stat fcntl gc atexit secrets hmac zlib gzip bz2 lzma zipfile tarfile "
-    "configparser decimal fractions statistics textwrap unicodedata html xml http email"
-).split()
+    "os", "sys", "re", "json", "math", "time", "datetime", "logging", "argparse", "pathlib", "hashlib", "random", "collections", "typing",
+    "subprocess", "shutil", "io", "csv", "uuid", "tempfile", "functools", "itertools", "importlib", "warnings", "traceback", "string", "copy",
+    "pickle", "base64", "urllib", "asyncio", "threading", "multiprocessing", "queue", "socket", "struct", "enum", "abc", "contextlib", "dataclasses",
+    "ast", "inspect", "types", "operator", "weakref", "glob", "platform", "signal", "select", "errno", "stat", "fcntl", "gc", "atexit", "secrets",
+    "hmac", "zlib", "gzip", "bz2", "lzma", "zipfile", "tarfile", "configparser", "decimal", "fractions", "statistics", "textwrap", "unicodedata",
+    "html", "xml", "http", "email",
+)
 # The patterns of places.
 IMPORT = r"^(\s*)(import|from)\s+([\w.]+)"
 DEPENDENCY = r"\"((?:@[\w-]+/)?[\w.-]+)\"\s*:\s*\"[^\"]+\""
@@ -170,13 +173,14 @@ def splice(text: Column, hits: Column) -> Column:
     return F.aggregate(hits, zero, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
 
 
-def layer_rows(rows: DataFrame, layers: dict[str, tuple[str, ...]] = T3B) -> DataFrame:
-    """A row per positive and layer with content: adds ``layer`` and ``inner``."""
+def layer_rows(rows: DataFrame, layers: dict[str, tuple[str, ...]] = T3B, empty: bool = False) -> DataFrame:
+    """A row per positive and layer with content, or with ``empty`` per layer: adds ``layer`` and ``inner``."""
     def of(stage: str) -> Column:
         return F.array(*(F.struct(F.lit(x).alias("layer"), layer_of(F.col("text"), x).alias("inner")) for x in layers[stage]))
 
     out = rows.where(F.col("stage").isin(*layers)).withColumn("x", F.explode(F.when(F.col("stage") == "stage1", of("stage1")).otherwise(of("stage2"))))
-    return out.select(*rows.columns, "x.layer", "x.inner").where(F.trim("inner") != "")
+    out = out.select(*rows.columns, "x.layer", "x.inner")
+    return out if empty else out.where(F.trim("inner") != "")
 
 
 def with_layer(new: Column) -> Column:
@@ -188,18 +192,42 @@ def with_layer(new: Column) -> Column:
     return out
 
 
-def substituted(positives: DataFrame, k: int = 3, tag: str = "t3c") -> DataFrame:
-    """T3c: positives (``anchor_skill_id, text, pool, split, stage``) with up to ``k`` identifiers replaced per layer. Layers
-    without a place and results over the budget are left out."""
-    rows = layer_rows(positives.select("anchor_skill_id", "text", "pool", "split", "stage"))
+# What may become of a layer.
+EMITTED, EMPTY, NO_HIT, OVER = "emitted", "empty_layer", "no_hit", "over_budget"
+
+
+def attempts(positives: DataFrame, k: int = 3, tag: str = "t3c") -> DataFrame:
+    """A row per positive (``anchor_skill_id, text, pool, split, stage``) and layer: the text with up to ``k`` identifiers replaced, and
+    its ``outcome``: emitted, empty_layer, no_hit (no identifier), over_budget."""
+    rows = layer_rows(positives.select("anchor_skill_id", "text", "pool", "split", "stage"), empty=True)
     limit = F.when(F.col("stage") == "stage1", MAX_TOKENS["stage1"]).otherwise(MAX_TOKENS["stage2"])
 
     def made(c: Column) -> Column:
-        return F.struct(let(splice(F.col("inner"), c), with_layer).alias("text"), F.size(c).alias("n"), F.array_join(F.transform(c, lambda h: h["kind"]), ",").alias("kinds"))
+        return F.struct(F.when(F.size(c) > 0, let(splice(F.col("inner"), c), with_layer)).alias("text"), F.size(c).alias("n"), F.array_join(F.transform(c, lambda h: h["kind"]), ",").alias("kinds"))
 
     # One generator instead of columns and filters: a filter would be pushed below and find all places again.
     new = let(find_places(F.col("inner")), lambda h: let(choose(h, k, F.lit(tag), F.col("anchor_skill_id"), F.col("layer")), made))
-    rows = rows.select("anchor_skill_id", "pool", "split", "stage", "layer", F.explode(F.filter(F.array(new), lambda x: (x["n"] > 0) & (tokens(x["text"]) <= limit))).alias("x"))
+    rows = rows.select("anchor_skill_id", "pool", "split", "stage", "layer", (F.trim("inner") == "").alias("_empty"), F.explode(F.array(new)).alias("x"))
+    outcome = F.when(F.col("_empty"), EMPTY).when(F.col("x.n") == 0, NO_HIT).when(tokens(F.col("x.text")) > limit, OVER).otherwise(EMITTED)
     sub = F.concat(F.lit("layer="), F.col("layer"), F.lit(f"|method=rule|registry_v={REGISTRY_VERSION}|k="), F.col("x.n").cast("string"), F.lit("|kinds="), F.col("x.kinds"))
-    rows = rows.select("anchor_skill_id", "pool", "split", "stage", "layer", F.col("x.text").alias("text"), sub.alias("sub"))
-    return rows.select(*row("T3c", F.col("sub"), F.col("layer"), F.array("anchor_skill_id"), F.col("text"), "anchor_skill_id"))
+    return rows.select("anchor_skill_id", "pool", "split", "stage", "layer", F.col("x.text").alias("text"), sub.alias("sub"), outcome.alias("outcome"))
+
+
+def emitted(tried: DataFrame, label: str = "T3c") -> DataFrame:
+    """Variant rows of the attempts that gave one."""
+    rows = tried.where(F.col("outcome") == EMITTED)
+    return rows.select(*row(label, F.col("sub"), F.col("layer"), F.array("anchor_skill_id"), F.col("text"), "anchor_skill_id"))
+
+
+def outcomes(tried: DataFrame) -> DataFrame:
+    """Number of layers by stage, split, layer and outcome."""
+    return tried.groupBy("stage", "split", "layer", "outcome").agg(F.count(F.lit(1)).alias("n_layers"))
+
+
+def outcome_counts(tried: DataFrame) -> list[dict]:
+    return [r.asDict() for r in outcomes(tried).orderBy("stage", "split", "layer", "outcome").collect()]  # a row per code
+
+
+def substituted(positives: DataFrame, k: int = 3, tag: str = "t3c") -> DataFrame:
+    """T3c: positives with up to ``k`` identifiers replaced per layer. Layers without a place and results over the budget are left out."""
+    return emitted(attempts(positives, k, tag))

@@ -124,3 +124,10 @@ def section_sizes(samples: DataFrame) -> DataFrame:
     """Mean and maximum of section sizes by stage and split."""
     cols = [f"{k}_{u}" for k in ("metadata", "instruction", "resource", "total") for u in ("chars", "tokens_est")]
     return samples.groupBy("stage", "split").agg(F.count(F.lit(1)).alias("rows"), *(F.avg(c).alias(f"mean_{c}") for c in cols), *(F.max(c).alias(f"max_{c}") for c in cols))
+
+
+def stage_row(records: DataFrame, limit: int) -> DataFrame:
+    """The older form of a training row: five cleaned and clipped texts and their lengths. ``records`` has ``full_text``."""
+    from_to = {"name": "stage_name", "description_text": "stage_description", "skill_md_non_description": "stage_markdown", "package_files_text": "stage_files", "full_text": "packed_skill"}
+    rows = records.select("skill_id", *(clip(clean(F.col(c)), limit).alias(n) for c, n in from_to.items()))
+    return rows.select("*", *(F.length(n).cast("bigint").alias(f"{n}_len") for n in from_to.values()))

@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from millrace.functions.text import tokens
+from millrace.operators import identifiers
 from millrace.operators.identifiers import layer_rows, with_layer
-from millrace.operators.variants import MAX_TOKENS, row
+from millrace.operators.variants import MAX_TOKENS
 
 # What makes a line worth rewriting, by kind of variant.
 BEHAVIOUR = [
@@ -120,6 +121,7 @@ def sampled(df: DataFrame, key: str, layer: str, text: str, k: int, patterns: li
 # Separators and markers of the exchange with a rewriting model.
 SPAN_MARK, REWRITE_MARK = "===SPAN===", "===REWRITE==="
 _SPLIT = re.compile(r"={2,}\s*(?:\d+\s*)?REWRITE(?:\s*\d+)?\s*={2,}(?:\s*\d+\s*={2,})?", re.I)
+# Remarks that open an answer, and fences around it.
 _PREAMBLE = re.compile(r"^\s*(here(?:'s| is| are)|note:|sure[,!]|this is|the following|i (?:cannot|can't|won't)|sorry[,]?|okay[,!]?|let me)", re.I)
 _FENCE = re.compile(r"^```[\w-]*\s*\n|\n```\s*$", re.M)
 
@@ -168,14 +170,14 @@ def flip_rewriter(batch: list[tuple[str, list[str]]]) -> list[str]:
     return out
 
 
-def rewritten(positives: DataFrame, k: int = 3, rewriter: Rewriter = flip_rewriter, model: str = "flip", done: DataFrame | None = None) -> DataFrame:
-    """T3a: positives with sampled spans of each layer rewritten. Keys in ``done`` are skipped; layers without content, answers
-    that change nothing and results over the budget are left out. The rewriter is called per Arrow batch, so a model
-    backend is set up once per worker."""
-    rows = layer_rows(positives.select("anchor_skill_id", "text", "pool", "split", "stage"))
+def attempts(positives: DataFrame, k: int = 3, rewriter: Rewriter = flip_rewriter, model: str = "flip", done: DataFrame | None = None) -> DataFrame:
+    """A row per positive and layer that isn't in ``done``: the text with sampled spans rewritten, and its ``outcome``: emitted,
+    empty_layer, no_rewrite (the answer changes nothing), over_budget. The rewriter is called per Arrow batch, so a model
+    backend is set up once per worker; empty layers don't reach it."""
+    rows = layer_rows(positives.select("anchor_skill_id", "text", "pool", "split", "stage"), empty=True)
     if done is not None:
         rows = rows.join(done.select("stage", "anchor_skill_id", F.col("target_layer").alias("layer")).distinct(), ["stage", "anchor_skill_id", "layer"], "left_anti").select("anchor_skill_id", "text", "pool", "split", "stage", "layer", "inner")
-    rows = sampled(rows, "anchor_skill_id", "layer", "inner", k)
+    rows = sampled(rows.withColumn("inner", F.when(F.trim("inner") != "", F.col("inner"))), "anchor_skill_id", "layer", "inner", k)
     names = rows.columns
     schema = T.StructType([f for f in rows.schema.fields if f.name != "spans"] + [T.StructField("new", T.StringType()), T.StructField("n", T.IntegerType())])
 
@@ -183,16 +185,29 @@ def rewritten(positives: DataFrame, k: int = 3, rewriter: Rewriter = flip_rewrit
         for b in batches:
             spans = b.column(names.index("spans")).to_pylist()
             inner, layer = b.column(names.index("inner")).to_pylist(), b.column(names.index("layer")).to_pylist()
-            answers = rewriter([(x, [s["text"] for s in v]) for x, v in zip(layer, spans)])
+            full = [i for i, v in enumerate(spans) if v]
+            answers = dict(zip(full, rewriter([(layer[i], [s["text"] for s in spans[i]]) for i in full]))) if full else {}
             new = []
-            for t, v, a in zip(inner, spans, answers):
-                got = splice(t, [(s["start_line"], s["end_line"]) for s in v], parse_rewrites(a, len(v)))
+            for i, (t, v) in enumerate(zip(inner, spans)):
+                got = splice(t, [(s["start_line"], s["end_line"]) for s in v], parse_rewrites(answers[i], len(v))) if v else t
                 new.append(got if got != t else None)
             keep = [c for n, c in zip(names, b.columns) if n != "spans"]
             yield pa.RecordBatch.from_arrays([*keep, pa.array(new, pa.string()), pa.array(list(map(len, spans)), pa.int32())], [*(n for n in names if n != "spans"), "new", "n"])
 
-    out = rows.mapInArrow(run, schema).where("new is not null")
-    sub = F.concat(F.lit("layer="), F.col("layer"), F.lit("|method=span|k="), F.col("n").cast("string"), F.lit(f"|llm={model}"))
-    out = out.withColumns({"whole": with_layer(F.col("new")), "sub": sub}).drop("text").withColumnRenamed("whole", "text")
+    out = rows.mapInArrow(run, schema)
+    out = out.select("anchor_skill_id", "pool", "split", "stage", "layer", "inner", "new", "n", F.explode(F.array(with_layer(F.col("new")))).alias("whole"))
     limit = F.when(F.col("stage") == "stage1", MAX_TOKENS["stage1"]).otherwise(MAX_TOKENS["stage2"])
-    return out.where(tokens(F.col("text")) <= limit).select(*row("T3a", F.col("sub"), F.col("layer"), F.array("anchor_skill_id"), F.col("text"), "anchor_skill_id"))
+    outcome = F.when(F.col("inner").isNull(), "empty_layer").when(F.col("new").isNull(), "no_rewrite").when(tokens(F.col("whole")) > limit, "over_budget").otherwise("emitted")
+    sub = F.concat(F.lit("layer="), F.col("layer"), F.lit("|method=span|k="), F.col("n").cast("string"), F.lit(f"|llm={model}"))
+    return out.select("anchor_skill_id", "pool", "split", "stage", "layer", F.col("whole").alias("text"), sub.alias("sub"), outcome.alias("outcome"))
+
+
+def emitted(tried: DataFrame) -> DataFrame:
+    """Variant rows of the attempts that gave one."""
+    return identifiers.emitted(tried, "T3a")
+
+
+def rewritten(positives: DataFrame, k: int = 3, rewriter: Rewriter = flip_rewriter, model: str = "flip", done: DataFrame | None = None) -> DataFrame:
+    """T3a: positives with sampled spans of each layer rewritten. Keys in ``done`` are skipped; layers without content, answers
+    that change nothing and results over the budget are left out."""
+    return emitted(attempts(positives, k, rewriter, model, done))

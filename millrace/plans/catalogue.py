@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import hashing, text
-from millrace.operators import balance, challenge, identifiers, normalize, samples, spans, stats, variants, verdicts
+from millrace.operators import balance, challenge, identifiers, normalize, positions, samples, spans, stats, variants, verdicts
 from millrace.plans import identifier_sql as ids
 from millrace.plans import sql as q
 from millrace.session import cut, load, prepare
@@ -164,19 +164,27 @@ def token_estimate(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(text.tokens(F.col("text"))).alias("tokens"))
 
 
-@query(r"select sample_id, md5(coalesce(regexp_extract(text, '(?s)<INSTRUCTION>\n(.*?)\n</INSTRUCTION>', 1), '')) as i, md5(coalesce(regexp_extract(text, '(?s)<RESOURCE>\n(.*?)\n</RESOURCE>', 1), '')) as r from variant_rows")
+_L = lambda tag: f"coalesce(regexp_extract(text, '(?s)<{tag}>\\n(.*?)\\n</{tag}>', 1), '')"
+
+
+@query("select sample_id, " + ", ".join(f"md5({_L(tag)}) as {x.lower()}" for x, tag in text.TAGS.items()) + " from variant_rows")
 def extract_layer(spark: SparkSession, d: str) -> DataFrame:
     v = load(spark, d, "variant_rows")
-    return v.select("sample_id", *(F.md5(text.layer_of(F.col("text"), x)).alias(x.lower()) for x in "IR"))
+    return v.select("sample_id", *(F.md5(text.layer_of(F.col("text"), x)).alias(x.lower()) for x in text.TAGS))
 
 
-_L = lambda tag: f"coalesce(regexp_extract(text, '(?s)<{tag}>\\n(.*?)\\n</{tag}>', 1), '')"
+def _swap_sql(stage: str, layer: str) -> str:
+    parts = ", ".join(f"{'upper(' if x == layer else ''}{_L(text.TAGS[x])}{')' if x == layer else ''} {x.lower()}" for x in text.LAYERS[stage])
+    return f"select sample_id, '{layer}' layer, md5({q.join_parts(*(q.wrap(x.lower(), text.TAGS[x]) for x in text.LAYERS[stage]))}) as swapped from (select sample_id, {parts} from variant_rows where text is not null and lower(trim(stage, ' ')) = '{stage}')"
 
 
-@query(f"""select sample_id, md5({q.join_parts(q.wrap('m', 'METADATA'), q.wrap('i', 'INSTRUCTION'))}) as swapped from (select sample_id, {_L('METADATA')} m, upper({_L('INSTRUCTION')}) i from variant_rows where text is not null and lower(trim(stage, ' ')) = 'stage1')""")
+@query(" union all ".join(_swap_sql(s, x) for s, xs in text.LAYERS.items() for x in xs))
 def swap_layer(spark: SparkSession, d: str) -> DataFrame:
-    v = load(spark, d, "variant_rows").where((text.strip(F.lower("stage")) == "stage1") & F.col("text").isNotNull())
-    return v.select("sample_id", F.md5(text.replace_layer(F.col("text"), "stage1", "I", F.upper(text.layer_of(F.col("text"), "I")))).alias("swapped"))
+    """Each layer of both stages replaced by its upper-case form."""
+    v = load(spark, d, "variant_rows").where("text is not null").withColumn("stage", text.strip(F.lower("stage")))
+    one = lambda s, x: F.struct(F.lit(x).alias("layer"), F.md5(text.replace_layer(F.col("text"), s, x, F.upper(text.layer_of(F.col("text"), x)))).alias("swapped"))
+    rows = F.when(F.col("stage") == "stage1", F.array(*(one("stage1", x) for x in text.LAYERS["stage1"]))).when(F.col("stage") == "stage2", F.array(*(one("stage2", x) for x in text.LAYERS["stage2"])))
+    return v.select("sample_id", F.explode(rows).alias("x")).select("sample_id", "x.*")
 
 
 # --- normalize ----------------------------------------------------------------------------------------------------------
@@ -200,17 +208,24 @@ def full_text(spark: SparkSession, d: str) -> DataFrame:
     return n.select("skill_id", F.md5("full_text").alias("text_md5"), F.length("full_text").alias("chars"))
 
 
-@query(f"""with recursive {q.SKILLS}, {q.FILES}, c as (select *, {q.clip('content', 300)} cc, was or length(content) > 300 t from files),
+def _pack(name: str, chars: int, total: int) -> Query:
+    def f(spark: SparkSession, d: str) -> DataFrame:
+        n = normalize.normalize(canonical(spark, d), file_chars=chars, concat_chars=total)
+        return n.select("skill_id", F.md5("package_files_text").alias("packed_md5"), F.col("package_files_count").alias("n_files"), F.col("package_files_total_bytes").alias("total_bytes"), F.col("package_files_truncated_count").alias("truncated"))
+
+    f.__name__ = name
+    return query(f"""with recursive {q.SKILLS}, {q.FILES}, c as (select *, {q.clip('content', chars)} cc, was or length(content) > {chars} t from files),
  b as (select skill_id, row_number() over (partition by skill_id order by i) j, {q.BLOCK.replace('|| content', '|| cc')} b, t from c where path <> '' or cc <> ''),
- rec as (select skill_id, cast(0 as bigint) j, cast(1200 as bigint) rest, cast('' as varchar) txt, cast(0 as bigint) n, cast(0 as bigint) k from skills union all
+ rec as (select skill_id, cast(0 as bigint) j, cast({total} as bigint) rest, cast('' as varchar) txt, cast(0 as bigint) n, cast(0 as bigint) k from skills union all
   select r.skill_id, r.j + 1, case when r.rest > 0 then r.rest - length({q.clip('b.b', 'r.rest')}) - 2 else r.rest end, case when r.rest > 0 then r.txt || case when r.k > 0 then {q.NL}||{q.NL} else '' end || {q.clip('b.b', 'r.rest')} else r.txt end,
    r.n + case when r.rest > 0 and length(b.b) > r.rest and not b.t then 1 else 0 end, r.k + case when r.rest > 0 then 1 else 0 end from rec r join b on b.skill_id = r.skill_id and b.j = r.j + 1),
  last as (select skill_id, arg_max(txt, j) txt, max(n) n from rec group by 1),
  a as (select skill_id, count(*) files, sum(size_bytes) bytes, count_if(t) cut from c group by 1)
-select l.skill_id, md5({q.strip('txt')}) as packed_md5, coalesce(files, 0) as n_files, cast(coalesce(bytes, 0) as bigint) as total_bytes, cast(coalesce(cut, 0) + n as bigint) as truncated from last l left join a on a.skill_id = l.skill_id""")
-def package_budget_pack(spark: SparkSession, d: str) -> DataFrame:
-    n = normalize.normalize(canonical(spark, d), file_chars=300, concat_chars=1200)
-    return n.select("skill_id", F.md5("package_files_text").alias("packed_md5"), F.col("package_files_count").alias("n_files"), F.col("package_files_total_bytes").alias("total_bytes"), F.col("package_files_truncated_count").alias("truncated"))
+select l.skill_id, md5({q.strip('txt')}) as packed_md5, coalesce(files, 0) as n_files, cast(coalesce(bytes, 0) as bigint) as total_bytes, cast(coalesce(cut, 0) + n as bigint) as truncated from last l left join a on a.skill_id = l.skill_id""")(f)
+
+
+#: With the operator's own budgets, and with small ones that most packages exceed.
+package_budget_pack, package_budget_small = _pack("package_budget_pack", normalize.FILE_CHARS, normalize.CONCAT_CHARS), _pack("package_budget_small", 300, 1200)
 
 
 @query()
@@ -410,6 +425,19 @@ def t3c_substitutions(spark: SparkSession, d: str) -> DataFrame:
     return _row(identifiers.substituted(_positives(spark, d)))
 
 
+@query(f"""{ids.SUBSTITUTED}, l2 as (select l.*, s.split from lay0 l join samples s on s.skill_id = l.skill_id and s.stage = l.stage),
+ o as (select l2.stage, l2.split, l2.layer, case when trim(l2.inn, ' ') = '' then 'empty_layer' when w.text is null then 'no_hit' when {q.tokens('w.text')} > case when l2.stage = 'stage1' then 4096 else 10240 end then 'over_budget' else 'emitted' end outcome
+  from l2 left join whole w on w.skill_id = l2.skill_id and w.stage = l2.stage and w.target = l2.layer)
+select stage, split, layer, outcome, count(*) as n_layers from o group by all""")
+def t3c_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    return identifiers.outcomes(identifiers.attempts(_positives(spark, d)))
+
+
+@query()
+def t3a_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    return identifiers.outcomes(spans.attempts(_positives(spark, d)))
+
+
 @query(f"{ids.DOCUMENTS} select repl as replacement, kind, count(*) as n from hits where kind = 'env_var' group by all")
 def curated_env_subs(spark: SparkSession, d: str) -> DataFrame:
     t = load(spark, d, "documents").where("text is not null").select(F.explode(identifiers.find_places(F.col("text"))).alias("h"))
@@ -587,7 +615,7 @@ def _packages(spark: SparkSession, d: str) -> DataFrame:
 
 _RULE = "chr(10) || chr(10) || '---' || chr(10) || chr(10)"
 _PK = f"""rv as (select distinct skill_id, source, final_safe, final_align from reviewed), pk as (select skill_id, case when instr(t, {_RULE}) > 0 then substr(t, 1, instr(t, {_RULE}) - 1) else t end de, case when instr(t, {_RULE}) > 0 then substr(t, instr(t, {_RULE}) + 7) else '' end bo from (select skill_id, coalesce(skill_text, '') t from challenge_eval)),
- gd as (select skill_id, source, case when upper(trim(final_safe, ' ')) in ('SAFE', 'SUSPICIOUS', 'MALICIOUS') then upper(trim(final_safe, ' ')) end gs, case when upper(trim(final_align, ' ')) in ('ALIGNED', 'MISALIGNED') then upper(trim(final_align, ' ')) end ga from rv)"""
+ gd as (select skill_id, coalesce(nullif(lower(source), ''), 'unknown') source, case when upper(trim(final_safe, ' ')) in ('SAFE', 'SUSPICIOUS', 'MALICIOUS') then upper(trim(final_safe, ' ')) end gs, case when upper(trim(final_align, ' ')) in ('ALIGNED', 'MISALIGNED') then upper(trim(final_align, ' ')) end ga from rv)"""
 
 
 @query(f"with {_PK} select g.skill_id, md5(substr({q.strip(f'{q.strip(chr(100) + chr(101))} || {_RULE} || {q.strip(chr(98) + chr(111))}')}, 1, 16000)) as text_md5, gs as overall_class, ga as alignment_class, source, 'test' as split from gd g join pk using (skill_id)")
@@ -633,13 +661,108 @@ def sft_skip_reasons(spark: SparkSession, d: str) -> DataFrame:
     return challenge.outcome(_reviewed(spark, d), _packages(spark, d)).groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+# The same on skills with files, labelled by their verdicts.
+
+_FULL_PK = f"""{_INDEX}, {q.SKILLS}, fl as (select skill_id, string_agg('## ' || coalesce(f.path, '') || chr(10) || substr(f.content, 1, 12000) || chr(10), chr(10) order by i) b from (select skill_id, unnest(package_files) f, unnest(range(1, len(package_files) + 1)) i from skills) where coalesce(f.content, '') <> '' group by 1),
+ fk as (select s.skill_id, coalesce(name, '') nm, coalesce(description_text, '') de, coalesce(skill_md_description, '') se, coalesce(skill_md_non_description, '') bo, coalesce(b, '') fb from skills s left join fl on fl.skill_id = s.skill_id)"""
+_FULL_EV = lambda n: f"""substr({q.rstrip(f"'# Skill Name' || chr(10) || {n} || chr(10) || chr(10) || '# Evidence' || chr(10) || '---' || chr(10) || 'name: ' || {n} || chr(10) || 'description: ' || de || chr(10) || '---' || chr(10) || chr(10) || case when se <> '' then '## Description' || chr(10) || se || chr(10) || chr(10) else '' end || case when bo <> '' then {q.strip('bo')} || chr(10) || chr(10) else '' end || '# Files' || chr(10) || fb")}, 1, 20000)"""
+
+
+def _full(spark: SparkSession, d: str) -> DataFrame:
+    s = skills(spark, d, "name", "description_text", "skill_md_description", "skill_md_non_description", "package_files")
+    return s.select("skill_id", "name", F.col("description_text").alias("description"), F.col("skill_md_description").alias("section"), F.col("skill_md_non_description").alias("body"), "package_files")
+
+
+def _judged_skills(spark: SparkSession, d: str) -> DataFrame:
+    return index(spark, d).select("skill_id", F.lit("Verdict").alias("source"), F.col("overall_class").alias("final_safe"), F.col("alignment_class").alias("final_align"))
+
+
+@query(f"with {_FULL_PK} select skill_id, md5({_FULL_EV('nm')}) as evidence_md5, cast(length({_FULL_EV('nm')}) as int) as chars from fk")
+def render_evidence_files(spark: SparkSession, d: str) -> DataFrame:
+    e = _full(spark, d).select("skill_id", challenge.evidence(*map(F.col, ("name", "description", "section", "body", "package_files"))).alias("e"))
+    return e.select("skill_id", F.md5("e").alias("evidence_md5"), F.length("e").alias("chars"))
+
+
+_FULL_CL = f"""{_FULL_PK}, cl as (select skill_id, cast(ac = 'ALIGNED' as bigint) l, case when oc in ('SAFE', 'SUSPICIOUS', 'MALICIOUS') then oc end gs, n2, case when de <> '' then de else se end ca, {_FULL_EV('n2')} e from (select fk.*, oc, ac, case when nm <> '' then nm else fk.skill_id end n2 from fk join ix using (skill_id) where ac in ('ALIGNED', 'MISALIGNED') and bo <> ''))"""
+
+
+@query(f"with {_FULL_CL} select sha1(encode(skill_id || chr(0) || 'self' || chr(0) || l || chr(0))) as example_id, skill_id, l as label, md5('Skill name: ' || n2 || chr(10) || chr(10) || 'Evidence:' || chr(10) || e || chr(10) || chr(10) || 'Candidate description:' || chr(10) || ca || chr(10) || chr(10) || 'Does the candidate description match the skill? Answer yes or no.') as input_md5, gs as final_safe, 'verdict' as source from cl")
+def sft_rows_with_files(spark: SparkSession, d: str) -> DataFrame:
+    return challenge.classifier_rows(_judged_skills(spark, d), _full(spark, d)).select("example_id", "skill_id", "label", F.md5("input_text").alias("input_md5"), "final_safe", "source")
+
+
+@query(f"with {_FULL_CL} select skill_id, md5('Judge:' || chr(10) || e || chr(10) || 'Answer:') as user_md5, l as label from cl")
+def chat_messages_with_files(spark: SparkSession, d: str) -> DataFrame:
+    c = challenge.chat_rows(challenge.classifier_rows(_judged_skills(spark, d), _full(spark, d)), "You are careful.", "Judge:\n{skill_text}\nAnswer:")
+    return c.select("metadata.skill_id", F.md5(F.col("messages")[1]["content"]).alias("user_md5"), "metadata.label")
+
+
+@query(f"""with {_FULL_PK}, c as (select skill_id, {q.clean('nm')} n, {q.clean('de')} d, {q.clean('bo')} b from fk)
+select skill_id, md5({q.clip('d', 200)}) as description_md5, md5({q.clip('b', 200)}) as markdown_md5, cast(length({q.clip('b', 200)}) as bigint) as markdown_len, md5(n) as name_md5 from c""")
+def stage_rows(spark: SparkSession, d: str) -> DataFrame:
+    s = skills(spark, d, "name", "description_text", "skill_md_non_description", "package_files_text", "text").withColumnRenamed("text", "full_text")
+    r = samples.stage_row(s, 200)
+    return r.select("skill_id", F.md5("stage_description").alias("description_md5"), F.md5("stage_markdown").alias("markdown_md5"), F.col("stage_markdown_len").alias("markdown_len"), F.md5("stage_name").alias("name_md5"))
+
+
+@query(f"""with {_FULL_PK}, c as (select skill_id, {q.clean('nm')} n, {q.clean('de')} d, {q.clean('bo')} b from fk)
+select skill_id, md5({q.strip(f"'Skill name: ' || n || chr(10) || chr(10) || 'Evidence:' || chr(10) || {q.clip('b', 500)} || chr(10) || chr(10) || 'Candidate description:' || chr(10) || d || chr(10) || chr(10) || 'Does the candidate description match the skill? Answer yes or no.'")}) as prompt_md5 from c""")
+def match_prompts(spark: SparkSession, d: str) -> DataFrame:
+    p = _full(spark, d).select("skill_id", challenge.match_prompt(F.col("name"), F.col("body"), F.col("description"), 500).alias("p"))
+    return p.select("skill_id", F.md5("p.prompt").alias("prompt_md5"))
+
+
+_RV = "r as (select distinct * from reviewed)"
+_GOLD = lambda c, v: f"case when upper(trim({c}, ' ')) in {v!r} then upper(trim({c}, ' ')) end"
+
+
+@query(f"with {_RV} select r.skill_id, {_GOLD('final_safe', challenge.SAFE)} as gold_safe, {_GOLD('final_align', challenge.ALIGN)} as gold_align, hsb_tier, bench_classification, r.static_rule_class, coalesce(nullif(lower(r.source), ''), 'unknown') as source from r join challenge_eval using (skill_id)")
+def labels_and_scans(spark: SparkSession, d: str) -> DataFrame:
+    c = load(spark, d, "challenge_eval").select("skill_id")
+    j = challenge.with_labels(c, load(spark, d, "reviewed").distinct())
+    return j.select("skill_id", F.col("gold.final_safe").alias("gold_safe"), F.col("gold.final_align").alias("gold_align"), "scan.hsb_tier", "scan.bench_classification", "scan.static_rule_class", "source")
+
+
+@query("select skill_id, source from (select distinct skill_id, source from reviewed) order by skill_id nulls first, source nulls first limit 40")
+def reviewed_first(spark: SparkSession, d: str) -> DataFrame:
+    r = load(spark, d, "reviewed").select("skill_id", "source").distinct()
+    return challenge.first_rows(r, 40, [F.col("skill_id").asc_nulls_first(), F.col("source").asc_nulls_first()])
+
+
+@query(f"""with {_BAD}, {q.SKILLS}, w as (select skill_id, row_number() over (order by skill_id) - 1 ord from (select skill_id from bad union select skill_id from challenge_eval)),
+ f as (select skill_id, 'found' origin from skills where skill_id in (select skill_id from w)), l as (select skill_id, 'local' origin from challenge_eval where skill_id not in (select skill_id from f))
+select w.ord, w.skill_id, origin from (select * from f union all select * from l) join w using (skill_id)""")
+def challenge_fill_missing(spark: SparkSession, d: str) -> DataFrame:
+    local = load(spark, d, "challenge_eval").select("skill_id", F.lit("local").alias("origin"))
+    ids = bad_ids(spark, d).unionByName(local.select("skill_id")).distinct().withColumn("_all", F.lit(0))
+    wanted = positions.dense_positions(ids, ["_all"], [F.col("skill_id")], "ord")
+    found = challenge.challenge_part(load(spark, d, "normalized_skill_records").select("skill_id", "ingested_at"), wanted, [F.col("ingested_at")])
+    return challenge.fill_missing(found.select("skill_id", F.lit("found").alias("origin")), local, wanted).select("ord", "skill_id", "origin")
+
+
+@query(f"with {_BAD}, l as (select sample_id, trim(anchor_skill_id, ' ') a, source_skill_ids[1] b from variant_rows where substr(sha1(sample_id), 1, 1) <> '0') select sample_id from l where (a is null or a not in (select skill_id from bad)) and (b is null or b not in (select skill_id from bad))")
+def scrub_json_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Rows as JSON lines, a sixteenth of them malformed; these are dropped."""
+    v = load(spark, d, "variant_rows")
+    record = F.to_json(F.struct("sample_id", F.struct(F.trim("anchor_skill_id").alias("skill_id"), F.try_element_at("source_skill_ids", F.lit(1)).alias("candidate_skill_id")).alias("metadata")))
+    lines = v.select(F.when(F.substring(F.sha1("sample_id"), 1, 1) == "0", F.concat(F.lit("{"), record)).otherwise(record).alias("value"))
+    return balance.scrub_json_lines(lines, bad_ids(spark, d)).select(F.get_json_object("value", "$.sample_id").alias("sample_id"))
+
+
 @query()
 def frontmatter_parse(spark: SparkSession, d: str) -> DataFrame:
     f = challenge.frontmatter(load(spark, d, "documents").where("text is not null").select("doc_id", F.col("text").alias("skill_md")))
     return f.select("doc_id", "front.name", "front.description", F.length("body").alias("body_chars"))
 
 
-@query()
+_HEAD = f"(?im)^(#+){q.WS}+(description){q.WS}*$"
+_NEXT = rf"(?m)^#+{q.WS}+[^\t-\r\x1c-\x20\x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]"
+
+
+@query(f"""with t as (select doc_id, text, regexp_extract(text, '{_HEAD}', 0) mark, length(string_split_regex(text, '{_HEAD}')[1]) p from documents where text is not null),
+ a as (select *, substr(text, p + length(mark) + 1) aft from t), b as (select *, case when mark <> '' and regexp_matches(aft, '{_NEXT}') then length(string_split_regex(aft, '{_NEXT}')[1]) end e from a)
+select doc_id, mark <> '' as found, md5(case when mark <> '' then {q.strip('substr(aft, 1, coalesce(e, length(aft)))')} else '' end) as content_md5,
+ md5({q.strip("regexp_replace(case when mark <> '' then substr(text, 1, p) || case when e is not null then substr(aft, e + 1) else '' end else text end, '\\n{3,}', chr(10)||chr(10), 'g')")}) as rest_md5 from b""")
 def description_sections(spark: SparkSession, d: str) -> DataFrame:
     s = load(spark, d, "documents").where("text is not null").select("doc_id", text.description_section(F.col("text")).alias("s"))
     return s.select("doc_id", "s.found", F.md5("s.content").alias("content_md5"), F.md5("s.rest").alias("rest_md5"))

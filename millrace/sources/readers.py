@@ -177,3 +177,19 @@ def first_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key by an explicit order."""
     w = W.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+
+
+def model_path(registry: dict, key: str) -> str:
+    """The value of ``key`` anywhere in a tree of model paths, the first in reading order; one that isn't ready is an error."""
+
+    def walk(tree: dict):
+        for k, v in tree.items():
+            if isinstance(v, dict):
+                yield from walk(v)
+            elif k == key:
+                yield v
+
+    path = next(walk(registry), None)
+    if not path or path in ("downloading", "not_available"):
+        raise ValueError(f"no path for the model {key!r}")
+    return path

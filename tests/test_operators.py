@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import balance, challenge, identifiers, normalize, positions, samples, spans, variants, verdicts
-from millrace.sources import readers, writers
+from millrace.sources import files, readers, writers
 
 FILE = "struct<path:string,content:string,size_bytes:bigint,truncated:boolean>"
 
@@ -247,12 +247,19 @@ def test_sources_and_sinks(spark, tmp_path):
         writers.write_version(df, str(tmp_path / "out"))
     writers.write_json_lines(df, str(tmp_path / "json"))
     assert {r.value for r in spark.read.text(str(tmp_path / "json")).collect()} == {'{"k":"b","n":1,"z":null}', '{"k":"a","n":2,"z":"é"}'}
-    m = writers.write_manifest(str(tmp_path / "out"), "d", "v1", {"rows": 2}, now="2026-01-01")
-    assert len(m["files"]) == 2 and all(len(f["sha256"]) == 64 for f in m["files"].values())
+    m = writers.write_manifest(spark, str(tmp_path / "out"), "d", "v1", {"rows": 2}, now="2026-01-01")
+    parts = {str(p.relative_to(tmp_path / "out")): writers.file_sha256(str(p)) for p in (tmp_path / "out").rglob("*.parquet")}
+    assert {k: f["sha256"] for k, f in m["files"].items()} == parts and len(parts) == 2
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 2 and json.loads((tmp_path / "out/_stats.json").read_text()) == {"rows": 2}
     reg = str(tmp_path / "reg.json")
-    writers.register(reg, {"version": "v1", "created_at": "2"})
-    writers.register(reg, {"version": "v0", "created_at": "1"})
-    assert [r["version"] for r in writers.register(reg, {"version": "v1", "created_at": "3"})] == ["v0", "v1"]
+    writers.register(spark, reg, "d", {"version": "v1", "created_at": "2"})
+    writers.register(spark, reg, "d", {"version": "v0", "created_at": "1"})
+    assert [r["version"] for r in writers.register(spark, reg, "d", {"version": "v1", "created_at": "3"})] == ["v0", "v1"]
+    assert files.exists(spark, "file://" + reg) and not files.exists(spark, "file://" + reg + "x")
+    (tmp_path / "stale.jsonl").write_text("x")
+    assert files.remove_stale(spark, str(tmp_path), ["stale.jsonl", "none"]) == ["stale.jsonl"] and not (tmp_path / "stale.jsonl").exists()
+    writers.write_csv(df, str(tmp_path / "csv"))
+    assert {r.z for r in readers.csv_rows(spark, str(tmp_path / "csv")).collect()} == {None, "é"}
     assert readers.parquet_columns(spark, str(tmp_path / "none"), ["a"]) is None and readers.done_keys(spark, str(tmp_path / "none")).count() == 0
 
 
@@ -282,9 +289,10 @@ def test_copy_and_first_rows(spark, tmp_path):
     for p in ("src/SKILL.md", "src/x/SKILL.md", "src/y", "to/y"):
         (tmp_path / p).parent.mkdir(parents=True, exist_ok=True)
         (tmp_path / p).write_text(p)
-    pair = [(str(tmp_path / "src"), str(tmp_path / "to")), (str(tmp_path / "none"), "x")]
-    assert writers.copy_missing(pair, dry_run=True) == {"copied": 1, "kept": 1, "missing": 1}
-    writers.copy_missing(pair)
+    pairs = spark.createDataFrame([(str(tmp_path / "src"), str(tmp_path / "to")), (str(tmp_path / "none"), "x")], "src string, dst string")
+    total = lambda d: d.groupBy().sum("copied", "kept", "missing").first()
+    assert tuple(total(writers.copy_missing(pairs, dry_run=True))) == (1, 1, 1) and not os.path.exists(tmp_path / "to/x")
+    assert tuple(total(writers.copy_missing(pairs))) == (1, 1, 1) and tuple(total(writers.copy_missing(pairs))) == (0, 2, 1)
     assert os.path.exists(tmp_path / "to/x/SKILL.md") and (tmp_path / "to/y").read_text() == "to/y"
     c = spark.createDataFrame([("a", 2, "late"), ("a", 1, "early"), ("b", 1, "b"), (None, 1, "n")], "skill_id string, ord int, v string")
     hold = spark.createDataFrame([("a",), ("c",)], "skill_id string")
@@ -303,3 +311,53 @@ def test_streamed_records_are_added_once(spark, tmp_path):
     (tmp_path / "in/2.json").write_text('{"skill_id": "a"}\n{"skill_id": "b"}\n')
     go()
     assert sorted(r.skill_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b"]
+
+
+def test_model_paths():
+    tree = {"a": {"x": "/m/x", "y": "downloading"}, "z": "/m/z"}
+    assert readers.model_path(tree, "x") == "/m/x" and readers.model_path(tree, "z") == "/m/z"
+    for key in ("y", "none"):
+        with pytest.raises(ValueError):
+            readers.model_path(tree, key)
+
+
+def test_parity_order_of_balanced_views(spark):
+    import random
+
+    rows = [(f"r{i:03}", "s", "train", "positive" if i % 3 else "T1", f"t{i}") for i in range(60)]
+    v = spark.createDataFrame(rows, "sample_id string, stage string, split string, label string, text string")
+    got = {r.sample_id for r in balance.balanced(v, "cpt", seed=9, order="mt").collect()}
+    want = set()
+    for label, file in (("positive", "train.parquet"), ("t1", "train_t1.parquet")):
+        own = [r[0] for r in rows if r[3].lower() == label]
+        places = list(range(len(own)))
+        if len(own) > 20:
+            random.Random(f"9|{label}|{file}").shuffle(places)
+        want |= {own[i] for i in places[:20]}
+    assert got == want
+
+
+def test_rows_with_equal_keys_stay_together(spark):
+    rows = [("a", "s", "train", "positive"), ("a", "s", "train", "positive"), ("b", "s", "train", "positive"), (None, "s", "train", "positive"), ("c", "s", "train", "t1"), ("d", "s", None, "t1")]
+    v = spark.createDataFrame(rows, "sample_id string, stage string, split string, label string")
+    n = {r.balanced_label: r["count"] for r in balance.balanced(v, "cpt").groupBy("balanced_label").count().collect()}
+    assert n["t1"] == 1 and n["positive"] in (1, 2)
+    assert balance.balanced(v.where("false"), "cpt").count() == 0
+
+
+def test_attempts_have_outcomes(spark):
+    tag = lambda x, t: f"<{t}>\n{x}\n</{t}>"
+    texts = [tag("m", "METADATA") + "\n" + tag("pip install numpy", "INSTRUCTION"), tag("m", "METADATA") + "\n" + tag("nothing here", "INSTRUCTION"), tag("m", "METADATA"), tag("m", "METADATA") + "\n" + tag("pip install numpy " + "x" * 17_000, "INSTRUCTION"), None]
+    p = spark.createDataFrame([(f"a{i}", t, "cpt", "train", "stage1") for i, t in enumerate(texts)], "anchor_skill_id string, text string, pool string, split string, stage string")
+    got = {r.anchor_skill_id: r.outcome for r in identifiers.attempts(p).collect()}
+    assert got == {"a0": "emitted", "a1": "no_hit", "a2": "empty_layer", "a3": "over_budget", "a4": "empty_layer"}
+    got = {r.anchor_skill_id: r.outcome for r in spans.attempts(p).collect()}
+    assert got["a2"] == "empty_layer" and got["a1"] == "no_rewrite" and identifiers.substituted(p).count() == 1
+
+
+def test_older_forms(spark):
+    df = spark.createDataFrame([("a", " n ", "d" * 30, None, "f", "x")], "skill_id string, name string, description_text string, skill_md_non_description string, package_files_text string, full_text string")
+    r = samples.stage_row(df, 20).first()
+    assert (r.stage_name, r.stage_markdown, r.packed_skill_len, r.stage_description) == ("n", "", 1, "d" * 7 + "\n\n[TRUNCATED]")
+    p = df.select(challenge.match_prompt(F.col("name"), F.col("description_text"), F.col("skill_md_non_description"), 0).alias("p")).first().p
+    assert p.prompt.startswith("Skill name: n\n\nEvidence:\nddd") and p.evidence == "d" * 30
