@@ -6,15 +6,16 @@ import numpy as np
 
 
 class BoostedTrees:
-    """Logistic loss, histogram splits level by level; deterministic for given rows."""
+    """Logistic loss, histogram splits level by level; a leaf has a sum of second derivatives of at least ``least``. Deterministic for given rows."""
 
-    def __init__(self, rounds: int = 60, depth: int = 4, rate: float = 0.2, least: int = 8, bins: int = 32, l2: float = 1.0):
+    def __init__(self, rounds: int = 60, depth: int = 4, rate: float = 0.2, least: float = 1.0, bins: int = 32, l2: float = 1.0):
         self.rounds, self.depth, self.rate, self.least, self.bins, self.l2 = rounds, depth, rate, least, bins, l2
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> BoostedTrees:
         x, y = np.asarray(x, np.float32), np.asarray(y, np.float64)
         self.cuts = [np.unique(np.quantile(c, np.linspace(0, 1, self.bins + 1)[1:-1], method="nearest")) for c in x.T]
-        b = np.stack([np.searchsorted(c, v, "left") for c, v in zip(self.cuts, x.T)], axis=1)
+        self.used = np.flatnonzero([len(c) and v.min() <= c[0] < v.max() for c, v in zip(self.cuts, x.T)])  # the others split nothing
+        b = np.stack([np.searchsorted(self.cuts[f], x[:, f], "left") for f in self.used], axis=1) if len(self.used) else np.zeros((len(y), 0), np.int64)
         p = np.clip(y.mean(), 1e-3, 1 - 1e-3)
         self.base = float(np.log(p / (1 - p)))
         score = np.full(len(y), self.base)
@@ -31,9 +32,11 @@ class BoostedTrees:
         size, (n, m) = 1 << self.depth, b.shape
         feature, cut, value = np.full(size, -1), np.zeros(size, np.float32), np.zeros(size << 1)
         node = np.ones(n, np.int64)
+        if not m:
+            return (feature, cut, value), value[np.ones(n, np.int64)]
         at = np.arange(m) * self.bins
         flat = b + at
-        last = np.array([len(c) for c in self.cuts])
+        last = np.array([len(self.cuts[f]) for f in self.used])
         for level in range(self.depth):
             first = 1 << level
             open_ = np.flatnonzero((node >= first) & (node < 2 * first))  # rows whose node can still be split
@@ -41,16 +44,16 @@ class BoostedTrees:
                 break
             slot = ((node[open_] - first)[:, None] * (m * self.bins) + flat[open_]).ravel()
             total = first * m * self.bins
-            count, gs, hs = (np.cumsum(np.bincount(slot, w, total).reshape(first, m, self.bins), axis=2) for w in (None, np.repeat(g[open_], m), np.repeat(h[open_], m)))
-            k, sg, sh = count[:, :, -1:], gs[:, :, -1:], hs[:, :, -1:]
+            gs, hs = (np.cumsum(np.bincount(slot, np.repeat(w[open_], m), total).reshape(first, m, self.bins), axis=2) for w in (g, h))
+            sg, sh = gs[:, :, -1:], hs[:, :, -1:]
             gain = gs**2 / (hs + self.l2) + (sg - gs) ** 2 / (sh - hs + self.l2) - sg**2 / (sh + self.l2)
-            gain[(count < self.least) | (k - count < self.least)] = -1
+            gain[(hs < self.least) | (sh - hs < self.least)] = -1
             gain[:, np.arange(self.bins)[None, :] >= last[:, None]] = -1
             gain = gain.reshape(first, -1)
             best = gain.argmax(axis=1)
             for j in np.flatnonzero(gain[np.arange(first), best] > 1e-6):
                 f, c = divmod(int(best[j]), self.bins)
-                feature[first + j], cut[first + j] = f, self.cuts[f][c]
+                feature[first + j], cut[first + j] = self.used[f], self.cuts[self.used[f]][c]
                 rows = open_[node[open_] == first + j]
                 node[rows] = 2 * (first + j) + (b[rows, f] > c)
         gs, hs = np.bincount(node, g, size << 1), np.bincount(node, h, size << 1)

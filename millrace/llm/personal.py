@@ -282,7 +282,7 @@ def _right(text: str, b: int, words: lexicon.Lexicon) -> list[float]:
     right = text[b : b + RIGHT]
     gap, w = _FORWARD.match(right).groups()
     row = [float(m in gap) for m in _MARKS] + [float(gap == " "), float(gap == ". "), float(not right), float(gap in ("'", "’") and w == "s")]
-    row += [words.rank(w)[0] if w else -1.0, float(w[:1].isupper()), float(w.endswith(("ed", "te", "ó", "ou", "it"))), float(w in ("said", "says", "asked", "wrote", "will", "has", "had", "was", "is", "can", "put", "told")), float(bool(_ORG.match(w))), float(w.lower() in _WHO[4])]
+    row += [words.rank(w)[0] if w else -1.0, float(w[:1].isupper()), float(w.endswith(("ed", "te", "ó", "ou", "it"))), float(w.endswith("en")), float(w in ("said", "says", "asked", "wrote", "will", "has", "had", "was", "is", "can", "put", "told")), float(bool(_ORG.match(w))), float(w.lower() in _WHO[4])]
     return row + [float(bool(_REACH.match(right))), float(bool(_LABEL.match(right)))]
 
 
@@ -297,7 +297,7 @@ def _name(text: str, c: Candidate, words: lexicon.Lexicon, low: str, seen: dict[
     t = text[a:b]
     g1, g2 = words.rank(given.rstrip("."))
     f1, f2 = words.rank(fam)
-    row = [float(form == k) for k in range(6)] + [len(t), t.count(" "), float(c.run), g1, g2, f1, f2, max(g1, f1), min(g1, f1), g1 - g2, f1 - f2, words.stem(given), words.stem(fam), len(given), len(fam), float(len(given) == 2 and given[1] == "."), float(t.isupper()), float("-" in t), float("'" in t or "’" in t), float(t.isascii())]
+    row = [float(form == k) for k in range(6)] + [len(t), t.count(" "), float(c.run), g1, g2, f1, f2, max(g1, f1), min(g1, f1), g1 - g2, f1 - f2, words.stem(given), words.stem(fam), len(given), len(fam), float(given.endswith(("e", "en"))), float(fam.endswith("s")), float(len(given) == 2 and given[1] == "."), float(t.isupper()), float("-" in t), float("'" in t or "’" in t), float(t.isascii())]
     row += [float(f" {w.lower()} " in low) for w in (given, fam)] + [float(bool(_ORG.match(given))), float(bool(_ORG.match(fam))), float(any(x[0].islower() for x in t.split()[1:-1]))]
     if a not in seen:
         seen[a] = _left(text, a, words)
@@ -347,7 +347,7 @@ def model(rows: int = ROWS, seed: int = 5) -> Model:
         own = (kind == 4) == name
         x = np.array([v for v, k in zip(x_of, own) if k], np.float32)
         yy, pp, kk = y[own], part[own], kind[own]
-        fitted = BoostedTrees(rounds=100 if name else 60, depth=5 if name else 4).fit(x[pp > 0], yy[pp > 0])
+        fitted = BoostedTrees(rounds=60 if name else 40, depth=5 if name else 4, rate=0.3).fit(x[pp > 0], yy[pp > 0])
         trees.append(fitted)
         p = fitted.predict(x[pp == 0])
         for k in (4,) if name else range(4):

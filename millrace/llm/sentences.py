@@ -324,6 +324,11 @@ As {odd} {w}s {w}
 {w}. {Der} {W}s {w}
 {Der} {M}s {w} {w}
 {Odd} {W}s {w} {w}
+{Neue} {M}s {gehen} {w}
+- {Neue} {M} {gehen} {m} {w}
+{w}. {Neue} {W}s {gehen} {m}
+# {Neue} {M} {gehen}
+{m} {m}. {Neue} {M}s {gehen} {m}
 {Odd} {M}s {w} {w}
 - {Odd} {W} {w}
 {w}: {Odd} {M} {w}
@@ -476,7 +481,7 @@ class Maker:
             "w": self.word, "W": lambda: self.word().capitalize(), "M": lambda: self.made().capitalize(), "m": lambda: self.made().encode("ascii", "ignore").decode() or "ab", "G": lambda: r.choice(GIVEN), "P": lambda: r.choice(self.proper).capitalize(), "d": lambda: self.digits(r.choice([1, 2, 3])).lstrip("0") or "7",
             "y": lambda: f"20{self.digits(2)}", "x": lambda: "".join(r.choice("0123456789abcdef") for _ in range(8)), "u": lambda: r.choice("abcdef"), "role": lambda: r.choice(_ROLES), "ROLE": lambda: r.choice(_ROLES).upper(), "deed": lambda: r.choice(_DEEDS), "Deed": lambda: r.choice(_DEEDS).capitalize(), "org": lambda: r.choice(_ORGS),
             "title": lambda: r.choice(["Mr", "Mrs", "Ms", "Dr.", "Prof.", "Herr", "Frau", "Sr.", "Mme"]), "said": lambda: r.choice(["said", "asked", "wrote", "put", "told", "thinks", "noted"]), "Said": lambda: r.choice(["Says", "Asked", "Wrote", "Signed", "Added", "Owned", "Filed", "Told"]), "cjk": lambda: r.choice(["联系人", "担当", "作者", "负责人", "氏名", "客户"]), "cue": lambda: r.choice("by from to with for and as an or the in of on".split()), "odd": self.odd, "Odd": lambda: self.odd().capitalize(), "cyr": lambda: self.cyrillic().lower(), "Cyr": self.cyrillic, "idl": lambda: one[0], "idk": lambda: one[1],
-            "Der": lambda: r.choice("Der Die Das Den Ein Eine Alle Le La Les Un Une El Los Las Una O A Il".split()), "hanw": lambda: "".join(r.choice("文件数据系统版本配置日志缓存模块流程检查") for _ in range(r.choice([2, 3, 4]))),
+            "Der": lambda: r.choice("Der Die Das Den Ein Eine Alle Le La Les Un Une El Los Las Una O A Il".split()), "Neue": lambda: r.choice("Alle Neue Alte Weitere Andere Einige Viele Manche Fehlende Offene Letzte Erste Ganze Kleine Große Gute Beide Solche Rote Kurze Freie Leere Ältere Jüngere Öffentliche".split()), "gehen": lambda: self.r.choice("gehen stehen fallen werden müssen können folgen enden warten laufen gelten liegen kommen sollen dürfen".split()), "hanw": lambda: "".join(r.choice("文件数据系统版本配置日志缓存模块流程检查") for _ in range(r.choice([2, 3, 4]))),
         }[k]()
 
 
