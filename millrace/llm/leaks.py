@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import words as w
-from millrace.session import BROADCAST_ROWS, cut, keep_keys
+from millrace.session import cut, is_small, keep_keys
 
 SPAN, GRAM = 13, 8
 WINDOW = SPAN - GRAM + 1
@@ -111,7 +111,7 @@ def leaked_passages(items: DataFrame, corpus: DataFrame) -> DataFrame:
     of_items = cut(fingerprints(items.select(F.col("item_id").alias("id"), F.col("item_text").alias("text"))).distinct())
     prints = of_items.select(F.col("id").alias("item_id"), "fp")
     # The items' table is counted, so the broadcast is bounded; beyond that both sides are shuffled by fingerprint.
-    if of_items.count() <= BROADCAST_ROWS:
+    if is_small(of_items):
         prints = F.broadcast(prints)
     hits = cut(fingerprints(corpus).join(prints, "fp").select("id", "item_id").distinct())
     texts = keep_keys(corpus.select("id", "text").where("text is not null"), hits.select("id").distinct(), "id").distinct()
