@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.hashing import hash_parts, rank_key
 from millrace.operators.positions import dense_positions
-from millrace.session import BROADCAST_ROWS
+from millrace.session import is_small
 
 # Labels of the two balanced views, and what a variant is to its anchor.
 VIEWS = {"cpt": ("positive", "t1"), "contrastive": ("t2", "t3a", "t3b", "t3c")}
@@ -114,7 +114,7 @@ def pair_counts(p: DataFrame) -> DataFrame:
 
 def _without(rows: DataFrame, bad: DataFrame, column: Column) -> DataFrame:
     """Rows whose column is null or not among the ids; anti joins keep nulls, which NOT IN would not."""
-    small = bad.count() <= BROADCAST_ROWS
+    small = is_small(bad)
     b = bad.select(F.col(bad.columns[0]).alias("_bad")).distinct()
     return rows.join(F.broadcast(b) if small else b, column == F.col("_bad"), "left_anti")
 
@@ -137,7 +137,7 @@ def scrub_donors(rows: DataFrame, bad: DataFrame, anchor: str = "anchor_skill_id
     is gathered; a row without a key is judged by the ids themselves if these are few enough to broadcast as an array."""
     ids = donor_ids(donors, rows.schema[donors].dataType.simpleString())
     own = rows.withColumn("_ids", F.array_distinct(F.concat(F.coalesce(ids, F.array().cast("array<string>")), F.array(anchor))))
-    small = bad.count() <= BROADCAST_ROWS
+    small = is_small(bad)
     b = bad.select(F.col(bad.columns[0]).alias("_bad")).distinct()
     tainted = own.select(key, "_ids").distinct().select(key, "_ids", F.explode("_ids").alias("_bad")).join(F.broadcast(b) if small else b, "_bad", "left_semi").select(F.col(key).alias("_k"), F.col("_ids").alias("_i")).distinct()
     return own.join(tainted, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_ids") == F.col("_i")), "left_anti").drop("_ids")

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.hashing import hash_parts
 from millrace.functions.text import clean, clip, description_section, rstrip, strip
-from millrace.session import BROADCAST_ROWS
+from millrace.session import is_small
 
 # Closed vocabularies of gold labels.
 SAFE, ALIGN = ("SAFE", "SUSPICIOUS", "MALICIOUS"), ("ALIGNED", "MISALIGNED")
@@ -181,7 +181,7 @@ def add_columns(rows: DataFrame) -> DataFrame:
 
 def _small(ids: DataFrame) -> DataFrame:
     ids = ids.distinct()
-    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+    return F.broadcast(ids) if is_small(ids) else ids
 
 
 def train_part(canonical: DataFrame, holdout: DataFrame, key: str = "skill_id") -> DataFrame:

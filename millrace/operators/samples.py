@@ -112,12 +112,16 @@ def phase1(records: DataFrame, b: Budgets = Budgets(), **seeds) -> DataFrame:
 
 def emit_counts(records: DataFrame, b: Budgets = Budgets()) -> DataFrame:
     """How many records give samples: ``any, stage1, stage2, none, oversize``; counted before rows are exploded."""
-    fits = small_enough(records, b)
-    s = sections(fits, b)
+    size = F.greatest(F.coalesce("text_char_count", F.lit(0)), F.coalesce("package_files_total_bytes", F.lit(0)))
+    over = size > b.parent_chars
+    made = F.struct(metadata_section(F.col("name"), F.col("description_text"), b.metadata_chars).alias("m"), instruction_section(F.col("skill_md_non_description"), b.instruction_chars).alias("i"), resource_section(F.col("package_files"), b.file_chars, b.resource_chars).alias("r"))
+    # One scan; records that are too large are counted without their texts being touched.
+    s = records.select(over.alias("over"), F.explode(F.array(F.when(~over, made))).alias("x")).select("over", "x.m", "x.i", "x.r")
     one = (F.concat("m", "i") != "") & (tokens(join_parts(F.col("m"), F.col("i"))) <= b.stage1_tokens)
     two = (F.col("r.text") != "") & (tokens(join_parts(F.col("m"), F.col("i"), F.col("r.text"))) <= b.stage2_tokens)
-    n = s.agg(F.count_if(one | two).alias("any"), F.count_if(one).alias("stage1"), F.count_if(two).alias("stage2"), F.count_if(~(one | two)).alias("none"))
-    return n.crossJoin(records.agg((F.count(F.lit(1))).alias("all"))).crossJoin(fits.agg(F.count(F.lit(1)).alias("kept"))).select("any", "stage1", "stage2", "none", (F.col("all") - F.col("kept")).alias("oversize"))
+    one, two = F.coalesce(one, F.lit(False)), F.coalesce(two, F.lit(False))
+    fits = ~F.col("over")
+    return s.agg(F.count_if(fits & (one | two)).alias("any"), F.count_if(fits & one).alias("stage1"), F.count_if(fits & two).alias("stage2"), F.count_if(fits & ~(one | two)).alias("none"), F.count_if("over").alias("oversize"))
 
 
 def section_sizes(samples: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import is_small
+
 
 def histogram(rows: DataFrame, column: str) -> DataFrame:
     return rows.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
@@ -16,8 +18,8 @@ def family_totals(rows: DataFrame, levels: tuple[str, ...] = ("output_version",
 
 
 def with_domain(counts: DataFrame, domain: DataFrame, on: list[str], column: str = "rows") -> DataFrame:
-    """Counts with zeros for combinations of a small domain that don't occur."""
-    return F.broadcast(domain).join(counts, on, "left").fillna(0, [column])
+    """Counts with zeros for combinations of a domain that don't occur."""
+    return (F.broadcast(domain) if is_small(domain) else domain).join(counts, on, "left").fillna(0, [column])
 
 
 def table_text(rows: list, columns: list[str]) -> str:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import BROADCAST_ROWS, cut
+from millrace.session import cut, is_small
 
 
 @dataclass(frozen=True)
@@ -42,7 +42,7 @@ def judge(records: DataFrame, verdicts: DataFrame, policy: Policy, bounded: bool
 def counted_index(index: DataFrame) -> tuple[DataFrame, bool]:
     """The index, cut, and whether it is small enough to broadcast."""
     index = cut(index)
-    return index, index.count() <= BROADCAST_ROWS
+    return index, is_small(index)
 
 
 def report(judged: DataFrame) -> DataFrame:

@@ -42,8 +42,8 @@ _SAMPLE = ("name", "description_text", "skill_md_non_description", "package_file
 
 
 def skills(spark: SparkSession, d: str, *columns: str) -> DataFrame:
-    """One row per skill with the given columns; repeated records hold the same content, so the first by time is taken
-    (a minimum, not a sort). Only these columns are read and shuffled."""
+    """One row per skill with the given columns; repeated records hold the same content, so the first by time is taken. Only these
+    columns are read and shuffled; the rows of a skill are sorted by it, as the engine has no hashed minimum over texts."""
     df = load(spark, d, "normalized_skill_records").where("skill_id is not null")
     if not columns:
         return df.select("skill_id").distinct()

@@ -11,8 +11,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows up to which a one-column key set may be broadcast (about 32 MB of 16-byte keys).
-BROADCAST_ROWS = 1_000_000
+#: Rows and characters up to which a one-column key set may be broadcast.
+BROADCAST_ROWS, BROADCAST_CHARS = 1_000_000, 64_000_000
 
 
 def local_session(cpus: int | str = "*", memory: str = "8g", partitions: int = 8) -> SparkSession:
@@ -65,14 +65,21 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def is_small(keys: DataFrame, most: int = BROADCAST_ROWS) -> bool:
+    """Whether a table is small enough to broadcast, by its counted rows and the characters of its text columns; one pass."""
+    texts = [f.name for f in keys.schema.fields if f.dataType.simpleString() in ("string", "binary")]
+    size = sum((F.coalesce(F.sum(F.length(c)), F.lit(0)) for c in texts), F.lit(0))
+    rows, chars = keys.agg(F.count(F.lit(1)), size).first()
+    return rows <= most and chars <= BROADCAST_CHARS
+
+
 def keep_keys(df: DataFrame, keys: DataFrame, on: str | list[str], most: int = BROADCAST_ROWS, how: str = "left_semi") -> DataFrame:
-    """Semi (or anti) join against a materialised key table: broadcast if its counted rows are few, else shuffled.
+    """Semi (or anti) join against a materialised key table: broadcast if its counted rows and bytes are few, else shuffled.
 
     ``keys`` should be a cut table, as it is counted first. Nothing is dropped in either way; the count only picks
     the join strategy.
     """
-    small = keys.count() <= most
-    return df.join(F.broadcast(keys) if small else keys, on, how)
+    return df.join(F.broadcast(keys) if is_small(keys, most) else keys, on, how)
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
