@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.hashing import hash_parts, rank_key
 from millrace.operators.positions import dense_positions
-from millrace.session import is_small
+from millrace.session import is_small, salted_join
 
 # Labels of the two balanced views, and what a variant is to its anchor.
 VIEWS = {"cpt": ("positive", "t1"), "contrastive": ("t2", "t3a", "t3b", "t3c")}
@@ -78,10 +78,11 @@ def top_by_hash(rows: DataFrame, n: int, tag: str, key: str) -> DataFrame:
 
 def pairs(rows: DataFrame, *, anchor_rows: DataFrame | None = None) -> DataFrame:
     """Each variant with its anchor's canonical text, by stage, split and anchor. Of several anchors with one key the last by
-    sample id is taken; variants without an anchor are left out (see :func:`unpaired`)."""
+    sample id is taken; variants without an anchor are left out (see :func:`unpaired`).
+    Anchors with very many variants are spread over tasks."""
     a = anchors(rows if anchor_rows is None else anchor_rows)
     v = _variants(rows)
-    out = v.join(a, [*_GROUP, "anchor_skill_id"])
+    out = salted_join(v, a, [*_GROUP, "anchor_skill_id"], "sample_id")
     kind = F.element_at(F.create_map(*(F.lit(x) for kv in PAIR_KIND.items() for x in kv)), F.col("_label"))
     return out.select(
         hash_parts(F.col("anchor_skill_id"), F.col("stage"), F.col("split"), F.col("_label"), F.coalesce("sample_id", F.lit(""))).alias("sample_id"),

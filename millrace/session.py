@@ -82,6 +82,24 @@ def keep_keys(df: DataFrame, keys: DataFrame, on: str | list[str], most: int = B
     return df.join(F.broadcast(keys) if is_small(keys, most) else keys, on, how)
 
 
+#: Rows of one key beyond which its rows are spread over ``SALTS`` tasks by :func:`salted_join`.
+HOT_ROWS, SALTS = 1_000_000, 64
+
+
+def salted_join(many: DataFrame, one: DataFrame, on: list[str], spread: str, hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
+    """Inner join of ``many`` with ``one``, which has few rows per key, where a key may hold a great part of ``many``.
+
+    Keys with more than ``hot_rows`` rows are found by a count; there are at most rows / ``hot_rows`` of them. Their rows are
+    spread by a hash of the column ``spread``, and their rows of ``one`` are repeated ``salts`` times; all other keys are joined as usual."""
+    hot = cut(many.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*on, F.lit(True).alias("_hot")))
+    if hot.isEmpty():
+        return many.join(one, on)
+    known = lambda d: d.join(F.broadcast(hot) if is_small(hot) else hot, on, "left")
+    x = known(many).withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(F.lit(0).cast("bigint")))
+    y = known(one).withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).otherwise(F.array(F.lit(0).cast("bigint"))))).drop("_hot")
+    return x.drop("_hot").join(y, [*on, "_salt"]).drop("_salt")
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -361,3 +361,14 @@ def test_older_forms(spark):
     assert (r.stage_name, r.stage_markdown, r.packed_skill_len, r.stage_description) == ("n", "", 1, "d" * 7 + "\n\n[TRUNCATED]")
     p = df.select(challenge.match_prompt(F.col("name"), F.col("description_text"), F.col("skill_md_non_description"), 0).alias("p")).first().p
     assert p.prompt.startswith("Skill name: n\n\nEvidence:\nddd") and p.evidence == "d" * 30
+
+
+def test_hot_keys_are_spread(spark):
+    from millrace.session import salted_join
+
+    rows = [("hot" if i % 3 else f"k{i}", f"s{i}") for i in range(300)] + [(None, "n"), ("hot", None)]
+    many = spark.createDataFrame(rows, "k string, v string")
+    one = spark.createDataFrame([("hot", 1), ("k0", 2), ("k3", 3), ("none", 4), (None, 5)], "k string, w int")
+    want = sorted(map(str, many.join(one, ["k"]).collect()))
+    assert sorted(map(str, salted_join(many, one, ["k"], "v", hot_rows=50, salts=7).collect())) == want
+    assert sorted(map(str, salted_join(many, one, ["k"], "v").collect())) == want and len(want) == 203
