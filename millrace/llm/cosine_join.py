@@ -48,7 +48,7 @@ _PAGE = 1 << 16
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _slots(terms: np.ndarray, bits: int) -> np.ndarray:
+def slots(terms: np.ndarray, bits: int) -> np.ndarray:
     return (terms.view(np.uint64) * _MUL) >> np.uint64(64 - bits)
 
 
@@ -78,7 +78,7 @@ def vocabulary_table(df: DataFrame, bits: int = TABLE_BITS) -> bytes:
             t = b.column(0).flatten().to_numpy(zero_copy_only=False)
             if len(t):
                 some = True
-                s = _slots(t, bits)
+                s = slots(t, bits)
                 np.bitwise_or.at(table, (s >> np.uint64(3)).astype(np.int64), np.left_shift(1, s & np.uint64(7)).astype(np.uint8))
         if some:
             pages = table.reshape(-1, min(_PAGE, len(table)))
@@ -125,7 +125,7 @@ def within(df: DataFrame, table: bytes, threshold: float) -> DataFrame:
         own = np.frombuffer(held.value, np.uint8)
         for b in batches:
             n, t, w = _vectors(b, names)
-            s = _slots(t, bits)
+            s = slots(t, bits)
             inside = (own[(s >> np.uint64(3)).astype(np.int64)] >> (s & np.uint64(7)).astype(np.uint8)) & 1
             total = np.concatenate([[0.0], np.cumsum(w * w * inside)])
             end = np.cumsum(n)
@@ -144,7 +144,7 @@ def term_stats(df: DataFrame, bits: int = STAT_BITS) -> tuple[np.ndarray, np.nda
         count, top = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.float32)
         for b in batches:
             _, t, w = _vectors(b, names)
-            s = _slots(t, bits).astype(np.int64)
+            s = slots(t, bits).astype(np.int64)
             np.add.at(count, s, 1)
             np.maximum.at(top, s, np.nextafter(w.astype(np.float32), np.float32(2)))
         at = np.flatnonzero(count.reshape(-1, page).any(axis=1))
@@ -183,7 +183,7 @@ def prefixes(df: DataFrame, own: tuple[np.ndarray, np.ndarray], other: tuple[np.
         freq, top = (np.frombuffer(x, k) for x, k in zip(held.value, (np.int32, np.float32)))
         for b in batches:
             n, t, w = _vectors(b, names)
-            s = _slots(t, bits).astype(np.int64)
+            s = slots(t, bits).astype(np.int64)
             m, f = top[s], freq[s]
             row, term, weight, rest, start = [], [], [], [], 0
             for i, k in enumerate(n.tolist()):

@@ -103,6 +103,12 @@ def p4_rows(spark: SparkSession, d: str) -> DataFrame:
     return overlap.overlap_rows(_variant_texts(spark, d), 0.7).withColumnRenamed("id", "sample_id")
 
 
+@query
+def p4_weighted(spark: SparkSession, d: str) -> DataFrame:
+    """Overlaps of classes with weights by rarity, which passages that most rows share don't make."""
+    return overlap.weighted_overlaps(_variant_texts(spark, d))
+
+
 @query
 def p4_counts(spark: SparkSession, d: str) -> DataFrame:
     details = load(spark, d, "variant_rows").select(F.col("sample_id").alias("id"), overlap.clean("anchor_skill_id").alias("anchor"), F.col("source_skill_ids").alias("sources"))

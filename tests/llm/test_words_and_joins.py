@@ -208,3 +208,23 @@ def test_longest_shared_is_linear_and_right():
     began = time.perf_counter()
     assert leaks.longest_shared(["a"] * 20_000, ["a"] * 20_000)[0] == 20_000 and leaks.longest_shared(["a", "b"] * 10_000, ["b", "a", "c"] * 7_000)[0] == 0
     assert time.perf_counter() - began < 5
+
+
+def test_weighted_overlaps_against_brute_force(spark):
+    common = " ".join(RNG.choices(VOCAB, k=30))
+    rows = [(f"t{i}", "train", common + " " + " ".join(RNG.choices(VOCAB, k=30))) for i in range(25)]
+    rows += [(f"h{i}", ("val", "test", "unseen")[i % 3], edited(rows[i][2], i % 4)) for i in range(12)] + [(f"o{i}", "val", common + " " + " ".join(RNG.choices(VOCAB, k=30))) for i in range(10)]
+    rows += [("copy", "train", rows[0][2]), ("none", None, rows[0][2]), ("null", "val", None), ("short", "val", "a b")]
+    got = sorted((r.cosine, r.train_copies, r.held_copies) for r in overlap.weighted_overlaps(spark.createDataFrame(rows, "id string, split string, text string"), 0.6).collect())
+    classes = {}
+    for i, s, t in rows:
+        if s and t and sets(t):
+            classes.setdefault((s == "train", frozenset(sets(t))), set()).add(i)
+    n, freq = len(classes), {}
+    for _, c in classes:
+        for x in c:
+            freq[x] = freq.get(x, 0) + 1
+    w = lambda x: np.log1p(n / freq[x])
+    norm = lambda c: np.sqrt(sum(w(x) ** 2 for x in c))
+    want = sorted((float(d), len(classes[a]), len(classes[b])) for a in classes if a[0] for b in classes if not b[0] if (d := sum(w(x) ** 2 for x in a[1] & b[1]) / norm(a[1]) / norm(b[1])) >= 0.6)
+    assert want and np.allclose(got, want, atol=1e-5)
