@@ -1,7 +1,7 @@
 """Weighted cosine join of two collections of sparse vectors, without loss.
 
 Vectors are rows ``(id, terms array<bigint>, weights array<double>)`` of L2 norm 1 with distinct positive-weight terms; without
-the column ``weights`` all terms of a vector weigh the same. All pairs with a dot product of at least ``threshold`` are
+the column ``weights`` all terms of a vector weigh the same, or by a :class:`Rarity`, which spares the column. All pairs with a dot product of at least ``threshold`` are
 found:
 
 1. *Residual norm against the other side's vocabulary.* The terms of one side are set in a fixed-size bit table; a
@@ -106,17 +106,34 @@ def table_bits(table: bytes) -> int:
     return len(table).bit_length() + 2
 
 
-def _vectors(b: pa.RecordBatch, names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class Rarity:
+    """Weights of terms by how rare they are: the logarithm of 1 + ``total`` / frequency, from a table of slots of fixed size, which is
+    broadcast. Vectors are scaled to norm 1."""
+
+    def __init__(self, df: DataFrame, counts: np.ndarray, total: int):
+        self.bits = int(np.log2(len(counts)))
+        self.held = df.sparkSession.sparkContext.broadcast(np.log1p(total / np.maximum(counts, 1)).astype(np.float32).tobytes())
+
+    def raw(self, t: np.ndarray) -> np.ndarray:
+        return np.frombuffer(self.held.value, np.float32)[slots(t, self.bits).astype(np.int64)].astype(np.float64)
+
+    def weights(self, n: np.ndarray, t: np.ndarray) -> np.ndarray:
+        w = self.raw(t)
+        sums, end = np.concatenate([[0.0], np.cumsum(w * w)]), np.cumsum(n)
+        return w / np.repeat(np.sqrt(np.maximum(sums[end] - sums[end - n], 1e-300)), n)
+
+
+def _vectors(b: pa.RecordBatch, names: list[str], rarity: Rarity | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Lengths, terms and weights of a batch of vectors."""
     lists = b.column(names.index("terms"))
     n = lists.value_lengths().to_numpy(zero_copy_only=False)
     t = lists.flatten().to_numpy(zero_copy_only=False)
     if "weights" in names:
         return n, t, b.column(names.index("weights")).flatten().to_numpy(zero_copy_only=False)
-    return n, t, np.repeat(1 / np.sqrt(np.maximum(n, 1)), n)
+    return n, t, rarity.weights(n, t) if rarity else np.repeat(1 / np.sqrt(np.maximum(n, 1)), n)
 
 
-def within(df: DataFrame, table: bytes, threshold: float) -> DataFrame:
+def within(df: DataFrame, table: bytes, threshold: float, rarity: Rarity | None = None) -> DataFrame:
     """Vectors whose part inside the table's vocabulary has a norm of at least ``threshold``."""
     held, bits = df.sparkSession.sparkContext.broadcast(table), table_bits(table)
     names = df.columns
@@ -124,7 +141,7 @@ def within(df: DataFrame, table: bytes, threshold: float) -> DataFrame:
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.frombuffer(held.value, np.uint8)
         for b in batches:
-            n, t, w = _vectors(b, names)
+            n, t, w = _vectors(b, names, rarity)
             s = slots(t, bits)
             inside = (own[(s >> np.uint64(3)).astype(np.int64)] >> (s & np.uint64(7)).astype(np.uint8)) & 1
             total = np.concatenate([[0.0], np.cumsum(w * w * inside)])
@@ -136,14 +153,14 @@ def within(df: DataFrame, table: bytes, threshold: float) -> DataFrame:
     return df.where(F.col("terms").isNotNull()).mapInArrow(prune, df.schema)
 
 
-def term_stats(df: DataFrame, bits: int = STAT_BITS) -> tuple[np.ndarray, np.ndarray]:
+def term_stats(df: DataFrame, bits: int = STAT_BITS, rarity: Rarity | None = None) -> tuple[np.ndarray, np.ndarray]:
     """By slot, how many vectors have its terms, and the greatest weight; of ``2**bits`` slots or more if these fill up."""
     names, page = df.columns, 1 << 14
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, top = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.float32)
         for b in batches:
-            _, t, w = _vectors(b, names)
+            _, t, w = _vectors(b, names, rarity)
             s = slots(t, bits).astype(np.int64)
             np.add.at(count, s, 1)
             np.maximum.at(top, s, np.nextafter(w.astype(np.float32), np.float32(2)))
@@ -161,7 +178,7 @@ def term_stats(df: DataFrame, bits: int = STAT_BITS) -> tuple[np.ndarray, np.nda
     for p, n, w in zip(*(rows.column(c).to_pylist() for c in ("page", "n", "top"))):
         count[p], top[p] = np.frombuffer(n, np.int64), np.frombuffer(w, np.float32)
     if bits < STAT_MOST and np.count_nonzero(count) > FULL * count.size:
-        return term_stats(df, min(STAT_MOST, bits + 2))
+        return term_stats(df, min(STAT_MOST, bits + 2), rarity)
     return count.ravel(), top.ravel()
 
 
@@ -171,7 +188,7 @@ def _shared_slots(*stats: tuple[np.ndarray, np.ndarray]) -> list[tuple[np.ndarra
     return [(n.reshape(size, -1).sum(axis=1), top.reshape(size, -1).max(axis=1)) for n, top in stats]
 
 
-def prefixes(df: DataFrame, own: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray], threshold: float) -> DataFrame:
+def prefixes(df: DataFrame, own: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray], threshold: float, rarity: Rarity | None = None) -> DataFrame:
     """``(id, term, w, r)``: the index part of each vector, its rare terms up to where the tail can no longer reach the
     threshold alone; ``r`` is the norm of what comes after the term. Terms whose slot is empty on the other side add to
     no dot product and are left out from the start."""
@@ -182,7 +199,7 @@ def prefixes(df: DataFrame, own: tuple[np.ndarray, np.ndarray], other: tuple[np.
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         freq, top = (np.frombuffer(x, k) for x, k in zip(held.value, (np.int32, np.float32)))
         for b in batches:
-            n, t, w = _vectors(b, names)
+            n, t, w = _vectors(b, names, rarity)
             s = slots(t, bits).astype(np.int64)
             m, f = top[s], freq[s]
             row, term, weight, rest, start = [], [], [], [], 0
@@ -205,7 +222,7 @@ def prefixes(df: DataFrame, own: tuple[np.ndarray, np.ndarray], other: tuple[np.
     return df.mapInArrow(index, f"id {df.schema['id'].dataType.simpleString()}, term bigint, w double, r double")
 
 
-def cosine_join(left: DataFrame, right: DataFrame | None, threshold: float, ready: bool = False) -> DataFrame:
+def cosine_join(left: DataFrame, right: DataFrame | None, threshold: float, ready: bool = False, rarity: Rarity | None = None) -> DataFrame:
     """Pairs ``(id_a, id_b, dot, shared, size_a, size_b)`` of ``left`` and ``right`` with ``dot >= threshold``; with no
     ``right``, of ``left`` with itself and ``id_a < id_b``. ``threshold`` must lie in (0, 1]. Inputs are cut
     (checkpointed) after pruning, as they are used several times; with ``ready`` the caller has done both."""
@@ -216,15 +233,15 @@ def cosine_join(left: DataFrame, right: DataFrame | None, threshold: float, read
     left = left.select(cols).where("id is not null and terms is not null")
     if own:
         left = right = cut(left)
-        stats = stats_r = term_stats(left)
-        a = b = prefixes(left, stats, (np.zeros_like(stats[0]), stats[1]), threshold)
+        stats = stats_r = term_stats(left, rarity=rarity)
+        a = b = prefixes(left, stats, (np.zeros_like(stats[0]), stats[1]), threshold, rarity)
     else:
         right = right.select(cols).where("id is not null and terms is not null")
         if not ready:
-            left = cut(within(left, vocabulary_table(right), threshold))
-            right = cut(within(right, vocabulary_table(left), threshold))
-        stats, stats_r = _shared_slots(term_stats(left), term_stats(right))
-        a, b = prefixes(left, stats, stats_r, threshold), prefixes(right, stats_r, stats, threshold)
+            left = cut(within(left, vocabulary_table(right), threshold, rarity))
+            right = cut(within(right, vocabulary_table(left), threshold, rarity))
+        stats, stats_r = _shared_slots(term_stats(left, rarity=rarity), term_stats(right, rarity=rarity))
+        a, b = prefixes(left, stats, stats_r, threshold, rarity), prefixes(right, stats_r, stats, threshold, rarity)
     x = a.select(F.col("id").alias("id_a"), "term", F.col("w").alias("wa"), F.col("r").alias("ra"))
     y = b.select(F.col("id").alias("id_b"), "term", F.col("w").alias("wb"), F.col("r").alias("rb"))
     met = x.join(y, "term")
@@ -232,13 +249,28 @@ def cosine_join(left: DataFrame, right: DataFrame | None, threshold: float, read
         met = met.where("id_a < id_b")
     cand = met.groupBy("id_a", "id_b").agg(F.sum(F.col("wa") * F.col("wb")).alias("part"), F.min("ra").alias("ra"), F.min("rb").alias("rb"))
     cand = cand.where(F.col("part") + F.col("ra") * F.col("rb") >= threshold - EPS).select("id_a", "id_b")
-    return exact_dots(cand, left, right).where(F.col("dot") >= threshold - EPS)
+    return exact_dots(cand, left, right, rarity).where(F.col("dot") >= threshold - EPS)
 
 
-def exact_dots(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+def exact_dots(pairs: DataFrame, left: DataFrame, right: DataFrame, rarity: Rarity | None = None) -> DataFrame:
     """``(id_a, id_b, dot, shared, size_a, size_b)`` of given pairs by their full vectors; ``shared`` counts the common
     terms. Equal weights need only the sets; others are joined term by term."""
     l, r = left.select(F.col("id").alias("id_a"), F.col("terms").alias("ta")), right.select(F.col("id").alias("id_b"), F.col("terms").alias("tb"))
+    if rarity:
+        met = pairs.join(l, "id_a").join(r, "id_b").select("id_a", "id_b", "ta", "tb")
+        kind = pairs.schema["id_a"].dataType.simpleString()
+
+        def dots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                rows = []
+                for x, y in zip(b.column(2), b.column(3)):
+                    x, y = (v.values.to_numpy(zero_copy_only=False) for v in (x, y))
+                    both, wx, wy = rarity.raw(np.intersect1d(x, y)), rarity.raw(x), rarity.raw(y)
+                    rows.append((float((both * both).sum() / np.sqrt((wx * wx).sum() * (wy * wy).sum())), len(both), len(x), len(y)))
+                cols = [pa.array([r[k] for r in rows], pa.int32() if k else pa.float64()) for k in range(4)]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], ["id_a", "id_b", "dot", "shared", "size_a", "size_b"])
+
+        return met.mapInArrow(dots, f"id_a {kind}, id_b {kind}, dot double, shared int, size_a int, size_b int")
     if "weights" not in left.columns:
         met = pairs.join(l, "id_a").join(r, "id_b")
         sizes = met.select("id_a", "id_b", F.size(F.array_intersect("ta", "tb")).alias("shared"), F.size("ta").alias("size_a"), F.size("tb").alias("size_b"))

@@ -13,14 +13,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm import words as w
-from millrace.llm.cosine_join import cosine_join, slots, term_stats, vocabulary_table, within
+from millrace.llm.cosine_join import Rarity, cosine_join, term_stats, vocabulary_table, within
 from millrace.session import cut
 
 RUN = 3
@@ -56,62 +55,45 @@ def cosine_for(likeness: float) -> float:
     return 2 * likeness / (1 + likeness)
 
 
-def split_classes(rows: DataFrame, likeness: float) -> tuple[DataFrame, DataFrame]:
-    """``rows``: id, split, text with clean splits. Returns class pairs ``(train_cid, held_cid, likeness)``, equal
-    classes included, and the members ``(cid, id, split)`` of all classes in a pair."""
-    bound = cosine_for(likeness)
-    rows = rows.where(F.col("id").isNotNull() & F.col("text").isNotNull() & F.col("split").isin(TRAIN, *HELD_OUT))
-    sets = lambda d: run_sets(d, "text")
+def _usable(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("id").isNotNull() & F.col("text").isNotNull() & F.col("split").isin(TRAIN, *HELD_OUT))
+
+
+def _joined(rows: DataFrame, bound: float, rarity: Rarity | None = None) -> tuple[DataFrame, DataFrame]:
+    """Pairs of classes ``(id_a, id_b, dot, ...)`` of training and held-out rows, and the members ``(cid, id, split)`` of the classes left after pruning."""
+    sets = lambda d: run_sets(d.select("id", "split", "text"), "text")
     classes = lambda d: cut(d.select(F.col("cid").alias("id"), "terms").dropDuplicates(["id"]))
     # The held-out vocabulary prunes the training rows, what is left of these prunes the held-out rows: both
     # before any shuffle of texts or sets. Sets are written once, as classes; members are made in a pass of their own, without sets.
     held = sets(rows.where(F.col("split") != TRAIN))
-    train = within(sets(rows.where(F.col("split") == TRAIN)), vocabulary_table(held), bound)
+    train = within(sets(rows.where(F.col("split") == TRAIN)), vocabulary_table(held), bound, rarity)
     train_classes = classes(train)
-    held = within(held, vocabulary_table(train_classes), bound)
+    held = within(held, vocabulary_table(train_classes), bound, rarity)
     held_classes = classes(held)
     members = cut(train.drop("terms").unionByName(held.drop("terms")).distinct())
-    met = cosine_join(train_classes, held_classes, bound, ready=True)
+    return cosine_join(train_classes, held_classes, bound, ready=True, rarity=rarity), members
+
+
+def split_classes(rows: DataFrame, likeness: float) -> tuple[DataFrame, DataFrame]:
+    """``rows``: id, split, text with clean splits. Returns class pairs ``(train_cid, held_cid, likeness)``, equal
+    classes included, and the members ``(cid, id, split)`` of all classes in a pair."""
+    met, members = _joined(_usable(rows), cosine_for(likeness))
     j = F.col("shared") / (F.col("size_a") + F.col("size_b") - F.col("shared"))
     pairs = met.select(F.col("id_a").alias("train_cid"), F.col("id_b").alias("held_cid"), j.alias("likeness")).where(F.col("likeness") >= likeness)
     return cut(pairs), members
 
 
-def with_weights(vectors: DataFrame, stats: tuple[np.ndarray, np.ndarray], total: int) -> DataFrame:
-    """Vectors ``(id, terms)`` with ``weights`` of norm 1: the logarithm of how rare a term is among ``total`` vectors, by the frequencies of
-    its slot. The table has a fixed size and is broadcast."""
-    bits = int(np.log2(len(stats[0])))
-    held = vectors.sparkSession.sparkContext.broadcast(np.log1p(total / np.maximum(stats[0], 1)).astype(np.float32).tobytes())
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rare = np.frombuffer(held.value, np.float32)
-        for b in batches:
-            lists = b.column(1)
-            n, t = lists.value_lengths().to_numpy(zero_copy_only=False), lists.flatten().to_numpy(zero_copy_only=False)
-            w = rare[slots(t, bits).astype(np.int64)].astype(np.float64)
-            sums = np.concatenate([[0.0], np.cumsum(w * w)])
-            end = np.cumsum(n)
-            norm = np.sqrt(np.maximum(sums[end] - sums[end - n], 1e-300))
-            yield pa.RecordBatch.from_arrays([b.column(0), lists, pa.ListArray.from_arrays(pa.array(np.append(0, end).astype(np.int32)), pa.array(w / np.repeat(norm, n)))], ["id", "terms", "weights"])
-
-    return vectors.select("id", "terms").mapInArrow(add, f"id {vectors.schema['id'].dataType.simpleString()}, terms array<bigint>, weights array<double>")
-
-
 def weighted_overlaps(rows: DataFrame, threshold: float = 0.8) -> DataFrame:
     """Near-same texts where rare runs count more: ``(train_class, held_class, cosine, train_copies, held_copies)`` of each pair of classes of
     different splits whose weighted vectors have a cosine of at least ``threshold``. Runs that most texts share weigh little, so
-    common passages alone make no overlap. Frequencies are counted over the classes of both sides."""
-    rows = rows.where(F.col("id").isNotNull() & F.col("text").isNotNull() & F.col("split").isin(TRAIN, *HELD_OUT))
-    sets = run_sets(rows.select("id", (F.col("split") == TRAIN).alias("train"), "text"), "text")
-    members = cut(sets.drop("terms").distinct())
-    classes = cut(sets.select("train", F.col("cid").alias("id"), "terms").dropDuplicates(["train", "id"]))
-    stats = term_stats(classes.select("id", "terms"))
-    vectors = lambda train: with_weights(classes.where(F.col("train") == train), stats, total)
-    total = classes.count()
-    met = cosine_join(vectors(True), vectors(False), threshold).select(F.col("id_a").alias("train_cid"), F.col("id_b").alias("held_cid"), F.col("dot").alias("cosine"))
-    size = members.groupBy("cid", "train").agg(F.count(F.lit(1)).alias("n"))
-    one = lambda train, c: size.where(F.col("train") == train).select(F.col("cid").alias(f"{c}_cid"), F.col("n").alias(f"{c}_copies"))
-    return met.join(one(True, "train"), "train_cid").join(one(False, "held"), "held_cid").select(F.hex("train_cid").alias("train_class"), F.hex("held_cid").alias("held_class"), "cosine", "train_copies", "held_copies")
+    common passages alone make no overlap. Frequencies count all rows that have a text and a split."""
+    rows = _usable(rows)
+    counts, _ = term_stats(run_sets(rows.select("text"), "text").select("terms"))
+    pairs, members = _joined(rows, threshold, Rarity(rows, counts, rows.count()))
+    size = members.groupBy("cid", (F.col("split") == TRAIN).alias("train")).agg(F.count(F.lit(1)).alias("n"))
+    one = lambda train, c: size.where(F.col("train") == train).select(F.col("cid").alias(f"id_{c}"), F.col("n").alias(f"{c}_copies"))
+    met = pairs.join(one(True, "a"), "id_a").join(one(False, "b"), "id_b")
+    return met.select(F.hex("id_a").alias("train_class"), F.hex("id_b").alias("held_class"), F.col("dot").alias("cosine"), F.col("a_copies").alias("train_copies"), F.col("b_copies").alias("held_copies"))
 
 
 def split_overlaps(rows: DataFrame, likeness: float = 0.7) -> DataFrame:

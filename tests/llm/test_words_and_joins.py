@@ -220,9 +220,10 @@ def test_weighted_overlaps_against_brute_force(spark):
     for i, s, t in rows:
         if s and t and sets(t):
             classes.setdefault((s == "train", frozenset(sets(t))), set()).add(i)
-    n, freq = len(classes), {}
-    for _, c in classes:
-        for x in c:
+    used = [t for i, s, t in rows if s and t]
+    n, freq = len(used), {}
+    for t in used:
+        for x in sets(t):
             freq[x] = freq.get(x, 0) + 1
     w = lambda x: np.log1p(n / freq[x])
     norm = lambda c: np.sqrt(sum(w(x) ** 2 for x in c))
