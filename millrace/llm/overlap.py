@@ -86,7 +86,8 @@ def split_classes(rows: DataFrame, likeness: float) -> tuple[DataFrame, DataFram
 def weighted_overlaps(rows: DataFrame, threshold: float = 0.8) -> DataFrame:
     """Near-same texts where rare runs count more: ``(train_class, held_class, cosine, train_copies, held_copies)`` of each pair of classes of
     different splits whose weighted vectors have a cosine of at least ``threshold``. Runs that most texts share weigh little, so
-    common passages alone make no overlap. Frequencies count all rows that have a text and a split."""
+    common passages alone make no overlap. Frequencies count all rows that have a text and a split, in a table of slots: runs that share a
+    slot count together, so a cosine may be off in its third digit."""
     rows = _usable(rows)
     counts, _ = term_stats(run_sets(rows.select("text"), "text").select("terms"))
     pairs, members = _joined(rows, threshold, Rarity(rows, counts, rows.count()))
