@@ -24,7 +24,6 @@ null terms are dropped. Equal ids within a side must be removed by the caller.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,15 +52,6 @@ def slots(terms: np.ndarray, bits: int) -> np.ndarray:
     return (terms.view(np.uint64) * _MUL) >> np.uint64(64 - bits)
 
 
-def _pack(x: np.ndarray) -> bytes:
-    """A page for shuffles and files; most are sparse."""
-    return zlib.compress(x.tobytes(), 1)
-
-
-def _unpack(x: bytes, kind: type) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(x), kind)
-
-
 def merged(pages: DataFrame, both) -> pa.Table:
     """Pages ``(page, task, ...)`` merged to one per page by a tree: a group holds at most ``FAN_IN`` of them, so its size
     doesn't depend on the number of tasks. ``both`` merges the pages of a table into one row, without ``task``."""
@@ -93,20 +83,20 @@ def vocabulary_table(df: DataFrame, bits: int = TABLE_BITS) -> bytes:
         if some:
             pages = table.reshape(-1, min(_PAGE, len(table)))
             at = np.flatnonzero(pages.any(axis=1))
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array([TaskContext.get().partitionId()] * len(at), pa.int32()), pa.array([_pack(pages[i]) for i in at], pa.binary())], ["page", "task", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array([TaskContext.get().partitionId()] * len(at), pa.int32()), pa.array([pages[i].tobytes() for i in at], pa.binary())], ["page", "task", "bits"])
 
     def either(t: pa.Table) -> pa.Table:
         out = None
         for x in t.column("bits"):
-            v = _unpack(x.as_buffer(), np.uint8)
+            v = np.frombuffer(x.as_buffer(), np.uint8)
             out = v.copy() if out is None else np.bitwise_or(out, v, out=out)
-        return pa.table({"page": t.column("page").slice(0, 1), "bits": pa.array([_pack(out)], pa.binary())})
+        return pa.table({"page": t.column("page").slice(0, 1), "bits": pa.array([out.tobytes()], pa.binary())})
 
     rows = merged(df.select("terms").where(F.col("terms").isNotNull()).mapInArrow(local, "page int, task int, bits binary"), either)
     size = 1 << (bits - 3)
     table = np.zeros((size // min(_PAGE, size), min(_PAGE, size)), np.uint8)
     for p, x in zip(rows.column("page").to_pylist(), rows.column("bits").to_pylist()):
-        table[p] = _unpack(x, np.uint8)
+        table[p] = np.frombuffer(x, np.uint8)
     if bits < TABLE_MOST and np.bitwise_count(table).sum() > FULL * (1 << bits):
         return vocabulary_table(df, min(TABLE_MOST, bits + 2))
     return table.tobytes()
@@ -122,10 +112,10 @@ class Rarity:
 
     def __init__(self, df: DataFrame, counts: np.ndarray, total: int):
         self.bits = int(np.log2(len(counts)))
-        self.held = df.sparkSession.sparkContext.broadcast(np.log1p(total / np.maximum(counts, 1)).astype(np.float32).tobytes())
+        self.held = df.sparkSession.sparkContext.broadcast(np.log1p(total / np.maximum(counts, 1)).astype(np.float16).tobytes())
 
     def raw(self, t: np.ndarray) -> np.ndarray:
-        return np.frombuffer(self.held.value, np.float32)[slots(t, self.bits).astype(np.int64)].astype(np.float64)
+        return np.frombuffer(self.held.value, np.float16)[slots(t, self.bits).astype(np.int64)].astype(np.float64)
 
     def weights(self, n: np.ndarray, t: np.ndarray) -> np.ndarray:
         w = self.raw(t)
@@ -175,18 +165,18 @@ def term_stats(df: DataFrame, bits: int = STAT_BITS, rarity: Rarity | None = Non
             np.add.at(count, s, 1)
             np.maximum.at(top, s, np.nextafter(w.astype(np.float32), np.float32(2)))
         at = np.flatnonzero(count.reshape(-1, page).any(axis=1))
-        rows = [(_pack(count.reshape(-1, page)[i]), _pack(top.reshape(-1, page)[i])) for i in at]
+        rows = [(count.reshape(-1, page)[i].tobytes(), top.reshape(-1, page)[i].tobytes()) for i in at]
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array([TaskContext.get().partitionId()] * len(at), pa.int32()), *(pa.array([r[k] for r in rows], pa.binary()) for k in (0, 1))], ["page", "task", "n", "top"])
 
     def both(t: pa.Table) -> pa.Table:
-        n = sum(_unpack(x.as_buffer(), np.int64) for x in t.column("n"))
-        top = np.maximum.reduce([_unpack(x.as_buffer(), np.float32) for x in t.column("top")])
-        return pa.table({"page": t.column("page").slice(0, 1), "n": pa.array([_pack(n)], pa.binary()), "top": pa.array([_pack(top)], pa.binary())})
+        n = sum(np.frombuffer(x.as_buffer(), np.int64) for x in t.column("n"))
+        top = np.maximum.reduce([np.frombuffer(x.as_buffer(), np.float32) for x in t.column("top")])
+        return pa.table({"page": t.column("page").slice(0, 1), "n": pa.array([n.tobytes()], pa.binary()), "top": pa.array([top.tobytes()], pa.binary())})
 
     rows = merged(df.mapInArrow(local, "page int, task int, n binary, top binary"), both)
     count, top = np.zeros((1 << bits) // page * page, np.int64).reshape(-1, page), np.zeros((1 << bits), np.float32).reshape(-1, page)
     for p, n, w in zip(*(rows.column(c).to_pylist() for c in ("page", "n", "top"))):
-        count[p], top[p] = _unpack(n, np.int64), _unpack(w, np.float32)
+        count[p], top[p] = np.frombuffer(n, np.int64), np.frombuffer(w, np.float32)
     if bits < STAT_MOST and np.count_nonzero(count) > FULL * count.size:
         return term_stats(df, min(STAT_MOST, bits + 2), rarity)
     return count.ravel(), top.ravel()
@@ -202,16 +192,18 @@ def prefixes(df: DataFrame, own: tuple[np.ndarray, np.ndarray], other: tuple[np.
     """``(id, term, w, r)``: the index part of each vector, its rare terms up to where the tail can no longer reach the
     threshold alone; ``r`` is the norm of what comes after the term. Terms whose slot is empty on the other side add to
     no dot product and are left out from the start."""
-    freq = (own[0] + other[0]).clip(max=np.iinfo(np.int32).max).astype(np.int32)
-    held = df.sparkSession.sparkContext.broadcast((freq.tobytes(), other[1].tobytes()))
+    # Two bytes each: frequencies only order the terms, and the greatest weights are rounded up.
+    freq, high = np.log2(1.0 + own[0] + other[0]).astype(np.float16), other[1].astype(np.float16)
+    high = np.where(high < other[1], np.nextafter(high, np.float16(2)), high)
+    held = df.sparkSession.sparkContext.broadcast((freq.tobytes(), high.tobytes()))
     names, bits = df.columns, int(np.log2(len(freq)))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        freq, top = (np.frombuffer(x, k) for x, k in zip(held.value, (np.int32, np.float32)))
+        freq, top = (np.frombuffer(x, np.float16) for x in held.value)
         for b in batches:
             n, t, w = _vectors(b, names, rarity)
             s = slots(t, bits).astype(np.int64)
-            m, f = top[s], freq[s]
+            m, f = top[s].astype(np.float64), freq[s]
             row, term, weight, rest, start = [], [], [], [], 0
             for i, k in enumerate(n.tolist()):
                 here = start + np.flatnonzero(m[start : start + k])
