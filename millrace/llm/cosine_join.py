@@ -165,8 +165,10 @@ def term_stats(df: DataFrame, bits: int = STAT_BITS, rarity: Rarity | None = Non
             np.add.at(count, s, 1)
             np.maximum.at(top, s, np.nextafter(w.astype(np.float32), np.float32(2)))
         at = np.flatnonzero(count.reshape(-1, page).any(axis=1))
-        rows = [(count.reshape(-1, page)[i].tobytes(), top.reshape(-1, page)[i].tobytes()) for i in at]
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array([TaskContext.get().partitionId()] * len(at), pa.int32()), *(pa.array([r[k] for r in rows], pa.binary()) for k in (0, 1))], ["page", "task", "n", "top"])
+        for k in range(0, len(at), 16):  # a few pages at a time, so that no second copy of the table is held
+            some = at[k : k + 16]
+            n, high = ([x.reshape(-1, page)[i].tobytes() for i in some] for x in (count, top))
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([TaskContext.get().partitionId()] * len(some), pa.int32()), pa.array(n, pa.binary()), pa.array(high, pa.binary())], ["page", "task", "n", "top"])
 
     def both(t: pa.Table) -> pa.Table:
         n = sum(np.frombuffer(x.as_buffer(), np.int64) for x in t.column("n"))
