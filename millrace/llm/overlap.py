@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm import words as w
-from millrace.llm.cosine_join import Rarity, cosine_join, term_stats, vocabulary_table, within
+from millrace.llm.cosine_join import Rarity, cosine_join, inside, stat_bits, term_stats, vocabulary_table
 from millrace.session import cut
 
 RUN = 3
@@ -62,16 +62,15 @@ def _usable(rows: DataFrame) -> DataFrame:
 def _joined(rows: DataFrame, bound: float, rarity: Rarity | None = None) -> tuple[DataFrame, DataFrame]:
     """Pairs of classes ``(id_a, id_b, dot, ...)`` of training and held-out rows, and the members ``(cid, id, split)`` of the classes left after pruning."""
     sets = lambda d: run_sets(d.select("id", "split", "text"), "text")
-    classes = lambda d: cut(d.select(F.col("cid").alias("id"), "terms").dropDuplicates(["id"]))
-    # The held-out vocabulary prunes the training rows, what is left of these prunes the held-out rows: both
-    # before any shuffle of texts or sets. Sets are written once, as classes; members are made in a pass of their own, without sets.
+    vectors = lambda d: d.select(F.col("cid").alias("id"), "size", "norm", "terms").where(F.size("terms") > 0)
+    # The held-out vocabulary prunes the training rows, what is left of these prunes the held-out rows: both before any shuffle. In a large
+    # table little is pruned, so sets are written once, in this pass, and never shuffled as a whole.
     held = sets(rows.where(F.col("split") != TRAIN))
-    train = within(sets(rows.where(F.col("split") == TRAIN)), vocabulary_table(held), bound, rarity)
-    train_classes = classes(train)
-    held = within(held, vocabulary_table(train_classes), bound, rarity)
-    held_classes = classes(held)
-    members = cut(train.drop("terms").unionByName(held.drop("terms")).distinct())
-    return cosine_join(train_classes, held_classes, bound, ready=True, rarity=rarity), members
+    train = cut(inside(sets(rows.where(F.col("split") == TRAIN)), vocabulary_table(held), bound, rarity, "cid"))
+    table = vocabulary_table(train)
+    held = cut(inside(held, table, bound, rarity, "cid"))
+    members = cut(train.select("cid", "id", "split").unionByName(held.select("cid", "id", "split")).distinct())
+    return cosine_join(vectors(train), vectors(held), bound, ready=True, rarity=rarity, bits=stat_bits(table)), members
 
 
 def split_classes(rows: DataFrame, likeness: float) -> tuple[DataFrame, DataFrame]:

@@ -230,3 +230,47 @@ def test_weighted_overlaps_against_brute_force(spark):
     want = sorted((float(d), len(classes[a]), len(classes[b])) for a in classes if a[0] for b in classes if not b[0] if (d := sum(w(x) ** 2 for x in a[1] & b[1]) / norm(a[1]) / norm(b[1])) >= 0.6)
     assert want and len(got) == len(want) and np.allclose([g[0] for g in got], [x[0] for x in want], atol=2e-3)  # runs may share a slot
     assert sorted(g[1:] for g in got) == sorted(x[1:] for x in want)
+
+
+def shuffled_bytes(spark):
+    import time
+
+    sc = spark.sparkContext._jsc.sc()
+    sc.listenerBus().waitUntilEmpty(30_000)
+    time.sleep(1)  # the store is brought up to date now and then
+    found = sc.statusStore().executorList(False)
+    return sum(found.apply(i).totalShuffleWrite() for i in range(found.size()))
+
+
+def test_sets_are_not_shuffled_where_nothing_can_be_pruned(spark, monkeypatch):
+    """p4 in a large table: nearly each run occurs on the other side, so no row can be dropped by the vocabulary."""
+    g = random.Random(8)
+    pool = [" ".join(g.choices(VOCAB, k=12)) for _ in range(3000)]
+    rows = [(f"r{i}", g.choice(["train", "train", "val"]), " ".join(g.choices(pool, k=30))) for i in range(1200)]
+    rows += [(f"c{i}", "test", t.replace("w1 ", "w2 ")) for i, (_, s, t) in enumerate(rows[:60]) if s == "train"] + [("again", "train", rows[0][2]), ("again", "test", rows[0][2])]
+    df = spark.createDataFrame(rows, "id string, split string, text string").repartition(2)
+    for name, bits in (("TABLE_MOST", 20), ("STAT_BITS", 14), ("STAT_MOST", 14)):  # tables small beside the sets, as they are in a large table
+        monkeypatch.setattr(cosine_join, name, bits)
+    monkeypatch.setattr(cosine_join.vocabulary_table, "__defaults__", (20,))
+    monkeypatch.setattr(cosine_join.term_stats, "__defaults__", (14, None))
+    held = {x for _, s, t in rows if s != "train" for x in sets(t)}
+    assert sum(len(held & sets(t)) > 0.7 * len(sets(t)) for _, s, t in rows if s == "train") > 700
+    before = shuffled_bytes(spark)
+    got = {(r.id_a, r.id_b) for r in overlap.split_overlaps(df, 0.7).collect()}
+    written = shuffled_bytes(spark) - before
+    every = [(i, s, sets(t)) for i, s, t in rows]
+    want = {(min(a, b), max(a, b)) for a, s, x in every if s == "train" for b, r, y in every if r != "train" and a != b and len(x & y) >= 0.7 * len(x | y)}
+    assert got == want and len(want) > 30
+    assert written < 2 * sum(8 * len(x) for _, _, x in every)  # 1.1 times; 4 when sets were shuffled
+
+
+def test_sketches_bound_what_is_shared(spark):
+    g = np.random.default_rng(5)
+    vectors = [(i, np.unique(g.integers(-(2**62), 2**62, n))) for i, n in enumerate([1, 3, 40, 300, 300, 5000])]
+    vectors += [(10 + i, np.unique(np.concatenate([v[: len(v) * 4 // 5], g.integers(-(2**62), 2**62, 9)]))) for i, v in vectors]
+    df = spark.createDataFrame([(i, 1.0, [int(x) for x in v]) for i, v in vectors], "id int, norm double, terms array<bigint>")
+    held = {r.id: (r.k, r.bits) for r in cosine_join.sketches(df).collect()}
+    for i, v in vectors:
+        for j, u in vectors:
+            most, true = cosine_join.most_shared(*held[i], *held[j]), len(np.intersect1d(u, v))
+            assert true <= most and (i % 10 == j % 10 or min(len(u), len(v)) < 300 or most < 0.7 * min(len(u), len(v)) or len(u) != len(v)), (i, j)
